@@ -31,9 +31,69 @@ FROM d
 """
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textengine.llm.chat_format import format_conversations, read_back
+
+    both = "</s>[INST] ok [/INST]"
+    extra = spark.sql(f"SELECT -1L conv_id, * FROM VALUES (0L, 'user', '{both}'), (1L, 'assistant', '{both}') AS t(turn, role, text)")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    read = read_back(format_conversations(turns))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join("losses", "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        F.size("targets").cast("long").alias("n_examples"),
+        F.aggregate("targets", F.lit(0).cast("long"), lambda s, t: s + t["end"]).alias("example_chars"),
+    )
+
+
+OP4_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+escaped AS (
+  SELECT *, replace(replace(replace(replace(replace(replace(replace(text, '\', '\\'), '<|', '<\|'), '</s>', '<\/s>'), '<s>', '<\s>'),
+              '[INST]', '[\INST]'), '[/INST]', '[\/INST]'), '<<SYS>>', '<\<SYS>>') AS body FROM turns),
+sized AS (
+  SELECT *, sum(length(role) + length(body) + 13) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text
+              ROWS UNBOUNDED PRECEDING) AS upto FROM escaped)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length(role) + length(body) + 13)::BIGINT AS formatted_chars,
+       count(*) FILTER (role = 'assistant') AS n_examples,
+       coalesce(sum(upto) FILTER (role = 'assistant'), 0)::BIGINT AS example_chars
+FROM sized GROUP BY conv_id
+"""
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textengine.llm.quality_rules import apply_rules
+
+    rows = apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "stratum", F.array_join("cutoffs", ",", "-").alias("cutoffs"))
+
+
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textengine.llm.source_mixing import mix
+
+    rows = mix(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "rate", "copies")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_exact_dedup": op1_exact_dedup}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL}
+    return SQL
+
+
+QUERIES = [op1_exact_dedup, op3_quality_rules, op4_chat_format, op5_source_mixing]
+SQL = {"op1_exact_dedup": OP1_SQL, "op4_chat_format": OP4_SQL}
