@@ -34,11 +34,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder; it goes when the driver ends."""
-    at = f"{shared_dir(spark).rstrip('/')}/textengine/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(at)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return at
+    parent = f"{shared_dir(spark).rstrip('/')}/textengine/{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(parent)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return f"{parent}/{name}"
 
 
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:

@@ -87,6 +87,49 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "rate", "copies")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textengine.llm.pii import KINDS, find, written
+
+    def count(i: int):
+        return F.size(F.filter("base", lambda s: s["kind_no"] == i)).cast("long").alias(f"n_{KINDS[i]}")
+
+    plain = F.transform("added", lambda s: F.struct(s["kind_no"].alias("kind_no"), s["start"].alias("start"), s["end"].alias("end")))
+    every = F.sort_array(F.concat("base", plain))
+    rows = find(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", *[count(i) for i in range(4)], F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(every).alias("spans"), F.size("added").cast("long").alias("n_added"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textengine.llm.toxicity import fit, score
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    labels = table(spark, sf_dir, "labels").where(~held).select(F.col("doc_id").alias("label_id"), "toxic")
+    machine = fit(docs.join(labels, F.col("doc_id") == F.col("label_id")), "doc_id", "text", "toxic")
+    return score(docs, machine).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textengine.llm.token_output import encode_and_read
+
+    return encode_and_read(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2)
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textengine.llm.piece_transducer import decode, encode
+
+    model = tokenizer_path("piece_bpe_32k.model")
+    rows = decode(encode(table(spark, sf_dir, "documents"), model, keep_text=True), model)
+    plain = F.replace(F.coalesce("text", F.lit("")), F.lit("\u2581"), F.lit(" "))
+    return rows.select("doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"), F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == plain).alias("round_trip"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in QUERIES}
 
@@ -95,5 +138,5 @@ def oracle_sql() -> dict[str, str]:
     return SQL
 
 
-QUERIES = [op1_exact_dedup, op3_quality_rules, op4_chat_format, op5_source_mixing]
+QUERIES = [op1_exact_dedup, op2_token_output, op3_quality_rules, op4_chat_format, op5_source_mixing, op7_sentencepiece, op8_pii, op10_toxicity]
 SQL = {"op1_exact_dedup": OP1_SQL, "op4_chat_format": OP4_SQL}
