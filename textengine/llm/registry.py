@@ -121,6 +121,12 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_read(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textengine.llm.substring_dedup import substring_dedup
+
+    return substring_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textengine.llm.piece_transducer import decode, encode
 
@@ -138,5 +144,5 @@ def oracle_sql() -> dict[str, str]:
     return SQL
 
 
-QUERIES = [op1_exact_dedup, op2_token_output, op3_quality_rules, op4_chat_format, op5_source_mixing, op7_sentencepiece, op8_pii, op10_toxicity]
+QUERIES = [op1_exact_dedup, op2_token_output, op3_quality_rules, op4_chat_format, op5_source_mixing, op6_substring_dedup, op7_sentencepiece, op8_pii, op10_toxicity]
 SQL = {"op1_exact_dedup": OP1_SQL, "op4_chat_format": OP4_SQL}
