@@ -99,6 +99,12 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *[count(i) for i in range(4)], F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(every).alias("spans"), F.size("added").cast("long").alias("n_added"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textengine.llm.ngram_join import ngram_components
+
+    return ngram_components(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textengine.llm.toxicity import fit, score
 
@@ -144,5 +150,5 @@ def oracle_sql() -> dict[str, str]:
     return SQL
 
 
-QUERIES = [op1_exact_dedup, op2_token_output, op3_quality_rules, op4_chat_format, op5_source_mixing, op6_substring_dedup, op7_sentencepiece, op8_pii, op10_toxicity]
+QUERIES = [op1_exact_dedup, op2_token_output, op3_quality_rules, op4_chat_format, op5_source_mixing, op6_substring_dedup, op7_sentencepiece, op8_pii, op9_ngram_join, op10_toxicity]
 SQL = {"op1_exact_dedup": OP1_SQL, "op4_chat_format": OP4_SQL}
