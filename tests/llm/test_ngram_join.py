@@ -13,8 +13,8 @@ def shingles(text, n=4):
     return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set()
 
 
-def brute(rows, percent=85):
-    sets = [(i, shingles(t)) for i, t in rows]
+def brute(rows, percent=85, n=4):
+    sets = [(i, shingles(t, n)) for i, t in rows]
     up = {i: i for i, _ in rows}
 
     def root(x):

@@ -154,3 +154,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = ranked.join(plan, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("bucket") == F.col("b")))
     taken = (F.col("each") + F.when(F.col("before") + F.col("rank") <= F.col("extra"), 1).otherwise(0)).cast("long")
     return rows.select(F.col("id").alias(id_col), "size", "source", "source_size", "target", "rate", taken.alias("copies"))
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, share: float = SHARE, limit: float = LIMIT) -> DataFrame:
+    """The mix itself: the rows of docs, each as often as the mix takes it, with all their columns."""
+    keyed = docs.withColumn("__te_key", F.xxhash64(id_col, text_col, source_col))
+    chosen = mix(keyed.select("__te_key", F.col(text_col), F.col(source_col)), "__te_key", text_col, source_col, weights, share, limit)
+    # Repeated rows have one key and are the same, so their copies can be taken of any one of them.
+    plan = chosen.groupBy(F.col("__te_key").alias("__te_of")).agg(F.sum("copies").cast("int").alias("__te_copies"), F.count(F.lit(1)).alias("__te_rows")).where("__te_copies > 0")
+    joined = keyed.join(plan, F.col("__te_key") == F.col("__te_of"))
+    single = joined.where("__te_rows = 1").unionByName(joined.where("__te_rows > 1").dropDuplicates(["__te_key"]))
+    return single.withColumn("__te_copy", F.explode(F.sequence(F.lit(1), F.col("__te_copies")))).select(*docs.columns)
