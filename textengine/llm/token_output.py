@@ -23,9 +23,12 @@ empty document has its end id only; an empty table gives no parts and no rows.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +50,7 @@ class PartWriter:
     def __init__(self, out, width: int, level: int = LEVEL):
         import zstandard
 
-        self.out, self.width, self.kind = out, width, {2: "<u2", 4: "<u4"}[width]
+        self.out, self.width = out, width
         self.pack = zstandard.ZstdCompressor(level=level, write_checksum=False, write_content_size=True)
         self.at = self.tokens = 0
         self.ids: list[int | None] = []
@@ -57,15 +60,15 @@ class PartWriter:
         self.out.write(data)
         self.at += len(data)
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+    def add(self, doc_id: int | None, raw: bytes) -> None:
+        """A document: its ids, little-endian."""
         import xxhash
 
-        raw = ids.astype(self.kind).tobytes()
         frame = self.pack.compress(raw)
         self._write(frame)
         self.entries.append(struct.pack("<III", len(frame), len(raw), xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF))
         self.ids.append(doc_id)
-        self.tokens += len(ids)
+        self.tokens += len(raw) // self.width
 
     def close(self) -> None:
         known = np.array([0 if i is None else i for i in self.ids], "<i8")
@@ -123,15 +126,77 @@ def _file_system(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
-def _encoder(tokenizer: str):
-    import os
+#: White space with the letters, or the other characters, that follow it; letters after an apostrophe go with it.
+_WS = r" \t-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_PIECES = re.compile(rf"[{_WS}]*(?:[^\W\d_]+|(?:'[^\W\d_]+|[^\w{_WS}]|[\d_])+)|[{_WS}]+").findall
+KEPT_PIECES = 1_000_000
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(tokenizer)
-    t.encode_special_tokens = True  # the text of a special token is ordinary text
-    return t
+class Encoder:
+    """Encodes with the tokenizers library, each different piece of text once while it is kept.
+
+    A byte-level tokenizer splits a text before its merges, always before white space, and between
+    letters and other characters. So a text's ids are those of its pieces in order, which are
+    kept in a table of bounded size. New runs of letters are encoded many at a time, one a line; where
+    each ends follows from the ids' lengths in bytes. A tokenizer of another kind gets whole texts.
+    """
+
+    def __init__(self, path: str, end_id: int):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = True  # the text of a special token is ordinary text
+        size = self.library.get_vocab_size()
+        self.width = 2 if max(size, end_id + 1) <= 1 << 16 else 4
+        self.code, self.kept = {2: "H", 4: "I"}[self.width], {}
+        state = json.loads(self.library.to_str())
+        before = state["pre_tokenizer"] or {}
+        self.by_piece = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and not state["normalizer"]
+        # A byte-level token is written with one character for each of its bytes.
+        self.bytes_of = np.array([len(self.library.id_to_token(i) or "") for i in range(size)])
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [array(self.code, e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, pieces: list[str]) -> None:
+        runs = [p for p in pieces if p.lstrip(" ").isalpha() and p[:2] != "  "]
+        rest = [p for p in pieces if not p.lstrip(" ").isalpha() or p[:2] == "  "]
+        self.kept.update(zip(rest, self._whole(rest), strict=True))
+        chunks = [runs[i : i + 500] for i in range(0, len(runs), 500)]
+        for chunk, ids in zip(chunks, self._whole(["\n".join(c) for c in chunks]), strict=True):
+            ends = np.cumsum([len(p.encode()) + 1 for p in chunk]) - 1
+            reached = np.cumsum(self.bytes_of[np.frombuffer(ids, f"<u{self.width}")])
+            cuts = np.searchsorted(reached, ends)  # the token that ends each piece; the next one is the line's end
+            if (reached[cuts] != ends).any():
+                raise ValueError("the tokenizer joined two lines")
+            start = 0
+            for p, last in zip(chunk, ((cuts + 1) * self.width).tolist(), strict=True):
+                self.kept[p] = ids[start:last]
+                start = last + self.width
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, little-endian, `width` bytes each."""
+        if not self.by_piece:
+            return self._whole(texts)
+        split = [_PIECES(t) for t in texts]
+        kept = self.kept
+        new = {p for s in split for p in s if p not in kept}
+        if len(kept) + len(new) > KEPT_PIECES:
+            kept.clear()
+            new = {p for s in split for p in s}
+        if new:
+            self._learn(list(new))
+        get = self.kept.__getitem__
+        return [b"".join(map(get, s)) for s in split]
+
+
+@lru_cache(maxsize=1)
+def encoder_of(path: str, end_id: int) -> Encoder:
+    """One encoder for all tasks of a Python worker."""
+    return Encoder(path, end_id)
 
 
 def _writer(folder: str, tokenizer: str, end_id: int):
@@ -140,20 +205,20 @@ def _writer(folder: str, tokenizer: str, end_id: int):
         first = next((b for b in batches if b.num_rows), None)
         if first is None:
             return
-        encoder = _encoder(tokenizer)
-        width = 2 if max(encoder.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+        encoder = encoder_of(tokenizer, end_id)
+        end = array(encoder.code, [end_id]).tobytes()
         context = TaskContext.get()
         part = context.partitionId()
         fs, root = _file_system(folder)
         name, attempt = f"{root}/part-{part:06d}.ids", f"{root}/.attempt-{part:06d}-{context.taskAttemptId()}"
         with fs.open_output_stream(attempt) as out:
-            writer = PartWriter(out, width)
+            writer = PartWriter(out, encoder.width)
             for batch in (b for some in ([first], batches) for b in some):
                 ids = batch.column(0).to_pylist()
                 for at in range(0, len(ids), 64):
                     texts = [t or "" for t in batch.column(1).slice(at, 64).to_pylist()]
-                    for i, e in zip(ids[at : at + 64], encoder.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-                        writer.add(i, np.array([*e.ids, end_id], np.uint32))
+                    for i, raw in zip(ids[at : at + 64], encoder.encode(texts), strict=True):
+                        writer.add(i, raw + end)
             writer.close()
         fs.move(attempt, name)
         row = [part, f"{folder}/part-{part:06d}.ids", len(writer.ids), writer.tokens, writer.at]
