@@ -15,11 +15,12 @@ has U+2581 after another character, so a path may be cut before each run of them
 stretch is kept in a table of bounded size.
 
 Defined results: null texts are empty and have no ids; U+2581 itself reads as a space, as the library
-has it; decoding undoes the normaliser and gives U+FFFD for bytes that are no UTF-8.
+has it; decoding undoes the normaliser and gives U+FFFD for each byte that is no UTF-8.
 """
 
 from __future__ import annotations
 
+import codecs
 import re
 import struct
 from collections.abc import Iterator
@@ -36,6 +37,9 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE, UNIGRAM = 2, 1
 KEPT, KEPT_CHARS = 1 << 18, 48
 INF = float("inf")
+#: How bytes that are no UTF-8 are decoded: as one U+FFFD each.
+EACH_BYTE = "textengine-each-byte"
+codecs.register_error(EACH_BYTE, lambda e: ("\ufffd" * (e.end - e.start), e.end))
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -237,7 +241,7 @@ class Transducer:
         if not hasattr(self, "out"):
             self.out = [b"" if k == CONTROL else bytes([int(p[3:5], 16)]) if k == BYTE else " ⁇ ".encode() if k == UNKNOWN else p.replace(SPACE, " ").encode() for p, k in zip(self.pieces, self.kinds, strict=True)]
         out = self.out
-        text = b"".join([out[i] for i in ids]).decode("utf-8", "replace")
+        text = b"".join([out[i] for i in ids]).decode("utf-8", EACH_BYTE)
         return text[1:] if self.prefix and text[:1] == " " else text
 
 
