@@ -5,17 +5,20 @@ same set are one class, so copies never make pairs. The global n-gram order is c
 candidate pair's overlap is counted in each fragment on its own, from the two classes' segments there,
 and the partial overlaps are summed per pair.
 
-Candidates come in two rounds, so that large groups of near copies don't make all their pairs:
+Candidates come in steps, so that large groups of near copies don't make all their pairs:
 
-1. Classes that share one of their BOTTOM smallest hashes are paired with the first two classes of that
-   group and with the one before them. The links among these already join nearly all near copies.
-2. All classes that share a shingle of their prefixes (the first |x| - ceil(0.85 |x|) + 1 in the global
+1. Classes that share one of their BOTTOM smallest hashes are paired with the first class of that group
+   and with the one before them. The links among these already join nearly all near copies.
+2. Shingles of prefixes (see 3) that more than LARGE classes share pair each class with a few others,
+   by size and by chance, for up to ROUNDS rounds; what is in one component already is not paired.
+3. All classes that share a shingle of their prefixes (the first |x| - ceil(0.85 |x|) + 1 in the global
    order: linked sets always share one) and are not in one component yet are paired. Shingles known to
    repeat come last in the order, by count; the list of them is bounded (KNOWN), found by every task
    among its own documents, and only moves work: any order gives the same links.
 
-Before any set is fetched, pairs must pass the length bound and a bound by 512-bit parities: the bits
-that differ are never more than the shingles that differ. Both are exact, neither drops a link.
+Before any set is fetched, pairs must pass the length bound, a bound by where in the order
+they first meet, and a bound by parity bits (about one for a shingle): the bits
+that differ are never more than the shingles that differ. All are exact, none drops a link.
 
 Defined results: null and empty texts have an empty set and are linked with nothing; fewer than N words
 are one shingle; rows with equal ids are nodes of their own; null ids are never the smallest, and a
@@ -37,8 +40,11 @@ from textengine.llm.components import components
 from textengine.llm.wordhash import mix, runs, slices
 
 N, PERCENT = 4, 85
-FRAGMENTS, BOTTOM, KNOWN, FILTER_BITS = 8, 4, 1 << 20, 1 << 24
-PARITY_WORDS = 8  # of 64 bits
+FRAGMENTS, BOTTOM, KNOWN, FILTER_BITS = 4, 2, 1 << 20, 1 << 24
+PARITY_WORDS = 4  # of 64 bits, at least
+LARGE, ROUNDS = 16, 2
+SEEN, SURVEYED = 3, 6_000_000
+SENT = 250_000  # pairs or nodes of 16 to 40 bytes that are broadcast at most; more are joined by shuffling
 
 
 def sets(column: pa.Array, n: int = N) -> Iterator[tuple[int, np.ndarray]]:
@@ -67,28 +73,42 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def parities(shingles: np.ndarray) -> np.ndarray:
-    bits = np.bincount((shingles & np.uint64(64 * PARITY_WORDS - 1)).astype(np.int64), minlength=64 * PARITY_WORDS) & 1
+    """Whether an odd number of shingles has each remainder, by the largest power of two that is not above their number."""
+    size = max(64 * PARITY_WORDS, 1 << (max(len(shingles), 1).bit_length() - 1))
+    bits = np.bincount((shingles & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
-def _survey(n: int, percent: int):
-    """Texts -> (doc, class, size) rows, and (null, shingle, count) rows of prefix shingles that the task saw in two classes or more."""
+def _survey(n: int):
+    """Texts -> (doc, class, size) rows, and (null, shingle, count) rows of shingles that SEEN classes or more
+    had among SURVEYED shingles of the task, which bounds what it holds."""
+
+    def frequent(held: list[np.ndarray]) -> pa.RecordBatch:
+        every = np.concatenate(held)
+        every.sort()
+        starts = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+        counts = np.diff(np.append(starts, len(every)))
+        found, counts = every[starts[counts >= SEEN]], counts[counts >= SEEN]
+        return pa.RecordBatch.from_arrays([pa.nulls(len(found), pa.int64()), pa.array(found.view(np.int64)), pa.array(counts.astype(np.int64)), pa.array(np.ones(len(found), bool))], ["doc", "key", "n", "shingle"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         held: list[np.ndarray] = []
+        size = 0
         for batch in batches:
             classes, sizes = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
             for i, s in sets(batch.column(1), n):
-                classes[i], sizes[i] = c, size = class_of(s), len(s)
-                if c not in seen:
+                classes[i], sizes[i] = c, _ = class_of(s), len(s)
+                if c not in seen and len(s):
                     seen.add(c)
-                    held.append(s[: prefix_length(size, percent)].copy())
+                    held.append(s)
+                    size += len(s)
+                if size >= SURVEYED:
+                    yield frequent(held)
+                    held, size, seen = [], 0, set()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(classes), pa.array(sizes), pa.array(np.zeros(batch.num_rows, bool))], ["doc", "key", "n", "shingle"])
         if held:
-            found, counts = np.unique(np.concatenate(held), return_counts=True)
-            found, counts = found[counts > 1], counts[counts > 1]
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(found), pa.int64()), pa.array(found.view(np.int64)), pa.array(counts.astype(np.int64)), pa.array(np.ones(len(found), bool))], ["doc", "key", "n", "shingle"])
+            yield frequent(held)
 
     return run
 
@@ -158,9 +178,20 @@ def _segments(n: int, wanted, fragments: int):
 
 
 def may_link(n1: Column, n2: Column, p1: Column, p2: Column, percent: int) -> Column:
-    """Bounds that every link keeps: sizes, and differing parity bits against differing shingles."""
+    """Bounds that every link keeps: sizes, and differing parity bits against differing shingles.
+
+    Sizes of links are less than a factor of two apart, so at most one of two parities is twice as long;
+    its halves together are its parity by the smaller remainder.
+    """
+
+    def fold(p: Column, other: Column) -> Column:
+        half = F.greatest((F.size(p) / 2).cast("int"), F.lit(1))
+        return F.when(F.size(p) > F.size(other), F.zip_with(F.slice(p, F.lit(1), half), F.slice(p, half + 1, half), lambda a, b: a.bitwiseXOR(b))).otherwise(p)
+
+    p1, p2 = fold(p1, p2), fold(p2, p1)
     differ = F.aggregate(F.zip_with(p1, p2, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, x: s + x)
-    return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & ((100 + percent) * differ <= (100 - percent) * (n1 + n2))
+    sizes = 100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)
+    return F.when(sizes, (100 + percent) * differ <= (100 - percent) * (n1 + n2)).otherwise(False)
 
 
 class Join:
@@ -168,7 +199,7 @@ class Join:
         self.spark = docs.sparkSession
         self.n, self.percent = n, percent
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-        survey = cut(self.docs.mapInArrow(_survey(n, percent), "doc long, key long, n long, shingle boolean"), "survey")
+        survey = cut(self.docs.mapInArrow(_survey(n), "doc long, key long, n long, shingle boolean"), "survey")
         self.members = survey.where("NOT shingle").select("doc", F.col("key").alias("cls"), "n")
         self.reps = cut(self.members.where("n > 0").groupBy("cls").agg(F.coalesce(F.min("doc"), F.lit(-(1 << 63))).alias("rep")), "representatives")
         known = survey.where("shingle").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(KNOWN)
@@ -180,55 +211,92 @@ class Join:
         late = self.spark.sparkContext.broadcast((hashes[order], rank[order]))
         self.profiles = cut(self.docs.mapInArrow(_profiles(n, percent, late), "cls long, n long, parity array<long>, bottom array<long>, prefix array<long>"), "profiles")
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (u, v) of classes that are links: bounds first, then overlaps fragment by fragment."""
         facts = self.profiles.groupBy("cls").agg(F.first("n").alias("n"), F.first("parity").alias("parity"))
-        u = facts.select(F.col("cls").alias("u"), F.col("n").alias("n1"), F.col("parity").alias("p1"))
-        v = facts.select(F.col("cls").alias("v"), F.col("n").alias("n2"), F.col("parity").alias("p2"))
-        near = pairs.join(u, "u").join(v, "v").where(may_link(F.col("n1"), F.col("n2"), F.col("p1"), F.col("p2"), self.percent)).select("u", "v", "n1", "n2")
-        near = cut(near, "near")
-        wanted = near.select(F.col("u").alias("cls")).union(near.select(F.col("v").alias("cls"))).distinct().join(self.reps, "cls")
-        wanted = cut(wanted, "wanted")
+        self.facts = cut(facts, "facts")
+
+    @staticmethod
+    def _ends(pairs: DataFrame) -> DataFrame:
+        """(c, u, v, second): each pair once for either class; a broadcast only where there are at most SENT pairs."""
+        pairs = cut(pairs, "pairs")
+        side = lambda c, second: pairs.select(F.col(c).alias("c"), "u", "v", F.lit(second).alias("second"))
+        ends = side("u", False).union(side("v", True))
+        return F.broadcast(ends) if pairs.count() <= SENT else ends
+
+    def bounded(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (u, v) of classes that the exact bounds let through, with n1 and n2."""
+        ends = self._ends(pairs.distinct())
+        of = lambda c, second: F.max(F.when(F.col("second") == second, F.col(c)))
+        facts = self.facts.join(ends, F.col("cls") == F.col("c")).groupBy("u", "v").agg(of("n", False).alias("n1"), of("n", True).alias("n2"), of("parity", False).alias("p1"), of("parity", True).alias("p2"))
+        return cut(facts.where(may_link(F.col("n1"), F.col("n2"), F.col("p1"), F.col("p2"), self.percent)).select("u", "v", "n1", "n2"), "near")
+
+    def segments(self, classes: DataFrame) -> DataFrame:
+        """(cls, fragment, shingles) of the classes at least, from one document of each; no shuffle."""
+        wanted = cut(classes.distinct().join(self.reps, "cls"), "wanted")
         parts = wanted.coalesce(16).mapInArrow(_bits, "bits binary").collect()  # at most 16 bit fields of a fixed size
         bits = np.zeros(FILTER_BITS // 8, np.uint8)
         for p in parts:
             bits |= np.frombuffer(p.bits, np.uint8)
-        segments = self.docs.mapInArrow(_segments(self.n, self.spark.sparkContext.broadcast(bits.tobytes()), FRAGMENTS), "cls long, fragment int, shingles array<long>")
-        segments = cut(segments.join(wanted.select("cls"), "cls", "left_semi"), "segments").dropDuplicates(["cls", "fragment"])
-        segments = cut(segments, "segments")
-        first = segments.select(F.col("cls").alias("u"), F.col("fragment"), F.col("shingles").alias("s1"))
-        second = segments.select(F.col("cls").alias("v"), F.col("fragment"), F.col("shingles").alias("s2"))
-        partial = near.join(first, "u").join(second, ["v", "fragment"]).select("u", "v", "n1", "n2", F.size(F.array_intersect("s1", "s2")).cast("long").alias("overlap"))
-        both = F.col("n1") + F.col("n2")
-        return partial.groupBy("u", "v", "n1", "n2").agg(F.sum("overlap").alias("overlap")).where(100 * F.col("overlap") >= self.percent * (both - F.col("overlap"))).select("u", "v")
-
-    def first_round(self) -> DataFrame:
+        every = self.docs.mapInArrow(_segments(self.n, self.spark.sparkContext.broadcast(bits.tobytes()), FRAGMENTS), "cls long, fragment int, shingles array<long>")
+        return cut(every, "segments")  # those of a few other classes are among them, and those of repeated rows repeat
+
+    def links(self, near: DataFrame, segments: DataFrame) -> DataFrame:
+        """The pairs of near that are links: overlaps counted fragment by fragment and summed."""
+        ends = self._ends(near.select("u", "v"))
+        of = lambda second: F.first(F.when(F.col("second") == second, F.struct("size", "shingles")), ignorenulls=True)
+        sized = segments.withColumn("size", F.size("shingles").cast("long"))
+        both = sized.join(ends, F.col("cls") == F.col("c")).groupBy("u", "v", "fragment").agg(of(False).alias("a"), of(True).alias("b"))
+        partial = both.select("u", "v", (F.col("a.size") + F.col("b.size")).alias("sizes"), F.size(F.array_intersect("a.shingles", "b.shingles")).cast("long").alias("overlap"))
+        sums = partial.groupBy("u", "v").agg(F.sum("sizes").alias("sizes"), F.sum("overlap").alias("overlap"))
+        return sums.where(100 * F.col("overlap") >= self.percent * (F.col("sizes") - F.col("overlap"))).select("u", "v")
+
+    def bottom_pairs(self) -> DataFrame:
         rows = self.profiles.select("cls", F.explode("bottom").alias("shingle")).distinct()
         group = Window.partitionBy("shingle")
-        order = group.orderBy("cls")
-        other = F.struct(F.xxhash64("cls").alias("h"), F.col("cls").alias("c"))
-        rows = rows.select("cls", F.min("cls").over(group).alias("a"), F.min(other).over(group)["c"].alias("b"), F.lag("cls").over(order).alias("c"))
-        pairs = rows.select("cls", F.explode(F.array("a", "b", "c")).alias("o")).where("o IS NOT NULL AND o != cls")
-        return self.links(pairs.select(F.least("cls", "o").alias("u"), F.greatest("cls", "o").alias("v")).distinct())
-
-    def second_round(self, roots: DataFrame) -> DataFrame:
-        rows = self.profiles.select("cls", "n", F.explode("prefix").alias("shingle")).repartition(partitions(self.spark), "shingle")
-        group = Window.partitionBy("shingle")
-        shared = cut(rows.select("*", (F.min("cls").over(group) != F.max("cls").over(group)).alias("more")).where("more").drop("more"), "shared")
-        rooted = shared.join(roots, F.col("cls") == F.col("node"), "left").select("shingle", "cls", "n", F.coalesce("root", "cls").alias("root"))
-        mixed = rooted.distinct().select("*", (F.min("root").over(group) != F.max("root").over(group)).alias("more")).where("more").drop("more")
-        mixed = cut(mixed, "mixed")
-        x = mixed.select("shingle", F.col("cls").alias("u"), F.col("n").alias("m1"), F.col("root").alias("r1"))
-        y = mixed.select("shingle", F.col("cls").alias("v"), F.col("n").alias("m2"), F.col("root").alias("r2"))
-        sizes = 100 * F.least("m1", "m2") >= self.percent * F.greatest("m1", "m2")
-        pairs = x.join(y, (x.shingle == y.shingle) & (F.col("u") < F.col("v")) & (F.col("r1") != F.col("r2")) & sizes)
-        return self.links(pairs.select("u", "v").distinct())
+        rows = rows.select("cls", F.min("cls").over(group).alias("a"), F.lag("cls").over(group.orderBy("cls")).alias("b"))
+        return self._pairs(rows, ["a", "b"])
+
+    @staticmethod
+    def _pairs(rows: DataFrame, others: list[str]) -> DataFrame:
+        pairs = rows.select("cls", F.explode(F.array(*others)).alias("o")).where("o IS NOT NULL AND o != cls")
+        return pairs.select(F.least("cls", "o").alias("u"), F.greatest("cls", "o").alias("v"))
+
+    @staticmethod
+    def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+        roots = F.broadcast(roots) if roots.count() <= SENT else roots
+        return rows.join(roots, F.col("cls") == F.col("node"), "left").select("shingle", "cls", "n", "at", F.coalesce("root", "cls").alias("root"))
 
     def classes(self) -> DataFrame:
         """(node, root) of all classes that are linked with another one."""
-        roots = cut(components(self.first_round()), "roots")
-        more = self.second_round(roots)
-        return components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more))
+        group = Window.partitionBy("shingle")
+        rows = self.profiles.select("cls", "n", F.posexplode("prefix").alias("at", "shingle")).repartition(partitions(self.spark), "shingle")
+        rows = rows.withColumn("more", F.min("cls").over(group) != F.max("cls").over(group)).where("more").drop("more")
+        shared = cut(rows.distinct().withColumn("members", F.count(F.lit(1)).over(group)), "shared")
+        large = cut(shared.where(F.col("members") > LARGE).select("shingle", "cls", "n", "at"), "large")
+        near = self.bounded(self.bottom_pairs())
+        held = self.segments(near.select(F.col("u").alias("cls")).union(near.select(F.col("v").alias("cls"))).union(large.select("cls")))
+        roots = cut(components(self.links(near, held)), "roots")
+        for k in range(ROUNDS):  # large groups: a few partners for each class, until no more join
+            here = self._rooted(large, roots)
+            by_size, by_hash = group.orderBy("n", F.xxhash64("cls", F.lit(k))), group.orderBy(F.xxhash64("cls", F.lit(k)))
+            at = {f"{c}{i}": F.lag(F.struct("cls", "root"), i).over(w) for c, w in (("s", by_size), ("h", by_hash)) for i in (1, 2)}
+            picked = here.select("cls", "root", *[x.alias(c) for c, x in at.items()])
+            picked = picked.select("cls", *[F.when(F.col(f"{c}.root") != F.col("root"), F.col(f"{c}.cls")).alias(c) for c in at])
+            found = cut(self.links(self.bounded(self._pairs(picked, list(at))), held), "found")
+            if found.isEmpty():
+                break
+            roots = self._join(roots, found)
+        mixed = self._rooted(shared, roots).withColumn("more", F.min("root").over(group) != F.max("root").over(group)).where("more").drop("more")
+        mixed = cut(mixed, "mixed")
+        x = mixed.select("shingle", F.col("cls").alias("u"), F.col("n").alias("m1"), (F.col("n") - F.col("at")).alias("left1"), F.col("root").alias("r1"))
+        y = mixed.select("shingle", F.col("cls").alias("v"), F.col("n").alias("m2"), (F.col("n") - F.col("at")).alias("left2"), F.col("root").alias("r2"))
+        # At the first shingle in the order that two sets share, the overlap is at most what each has left.
+        sizes = (100 + self.percent) * F.least("left1", "left2") >= self.percent * (F.col("m1") + F.col("m2"))
+        near = self.bounded(x.join(y, (x.shingle == y.shingle) & (F.col("u") < F.col("v")) & (F.col("r1") != F.col("r2")) & sizes).select("u", "v"))
+        held = self.segments(near.select(F.col("u").alias("cls")).union(near.select(F.col("v").alias("cls"))))
+        return self._join(roots, self.links(near, held))
+
+    def _join(self, roots: DataFrame, found: DataFrame) -> DataFrame:
+        return cut(components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(found)), "roots")
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
