@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 
 from textengine.llm.wordhash import slices
 
-BITS, K, MAX_TRAIN, EPOCHS, BATCH, RATE, DECAY, SEED = 18, 4, 20_000, 8, 64, 0.15, 1e-6, 7
+BITS, K, MAX_TRAIN, EPOCHS, BATCH, RATE, DECAY, SEED = 18, 4, 20_000, 12, 64, 0.1, 1e-4, 7
 POWER = 0.5  # a text of n terms gives each the value n ** -POWER
+LEAST = 8  # a term that fewer training texts have says nothing
 PREFIXES = (0, 4, 5)
 
 
@@ -44,12 +45,15 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 class Machine:
-    def __init__(self, bias: float = -30.0, weights: np.ndarray | None = None, factors: np.ndarray | None = None):
-        self.bias, self.weights, self.factors = bias, weights, factors
+    def __init__(self, bias: float = -30.0, weights: np.ndarray | None = None, factors: np.ndarray | None = None, common: np.ndarray | None = None):
+        self.bias, self.weights, self.factors, self.common = bias, weights, factors, common
         self.slope, self.shift = 1.0, 0.0  # of the calibration
 
     def margins(self, bounds: np.ndarray, places: np.ndarray) -> np.ndarray:
         n = len(bounds) - 1
+        if self.common is not None:  # only terms that were common in training count, for the length too
+            stays = self.common[places]
+            bounds, places = np.concatenate([[0], np.cumsum(stays)])[bounds], places[stays]
         z = np.full(n, self.bias)
         full = np.flatnonzero(np.diff(bounds))
         if self.weights is not None and len(full):
@@ -93,8 +97,10 @@ def train(texts: list[np.ndarray], labels: np.ndarray) -> Machine:
 
 def learn(texts: list[np.ndarray], labels: np.ndarray) -> Machine:
     share = min(max(float(labels.mean()), 0.001), 0.999)
+    common = np.bincount(np.concatenate([*texts, np.zeros(0, np.int32)]), minlength=1 << BITS) >= LEAST
+    texts = [t[common[t]] for t in texts]
     rng = np.random.default_rng(SEED)
-    m = Machine(float(np.log(share / (1 - share))), np.zeros(1 << BITS, np.float32), rng.normal(0, 0.01, (1 << BITS, K)).astype(np.float32))
+    m = Machine(float(np.log(share / (1 - share))), np.zeros(1 << BITS, np.float32), np.where(common[:, None], rng.normal(0, 0.01, (1 << BITS, K)), 0).astype(np.float32), common)
     gw, gv, gb = np.full(1 << BITS, 1e-6, np.float32), np.full((1 << BITS, K), 1e-6, np.float32), 1e-6
     for epoch in range(EPOCHS):
         for chunk in np.array_split(rng.permutation(len(texts)), max(1, len(texts) // BATCH)):
