@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textengine.llm.common import table
+from textengine.llm.sql import OP3_SQL, OP6_SQL, OP9_SQL
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,4 +152,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 QUERIES = [op1_exact_dedup, op2_token_output, op3_quality_rules, op4_chat_format, op5_source_mixing, op6_substring_dedup, op7_sentencepiece, op8_pii, op9_ngram_join, op10_toxicity]
-SQL = {"op1_exact_dedup": OP1_SQL, "op4_chat_format": OP4_SQL}
+SQL = {"op1_exact_dedup": OP1_SQL, "op3_quality_rules": OP3_SQL, "op4_chat_format": OP4_SQL, "op6_substring_dedup": OP6_SQL, "op9_ngram_join": OP9_SQL}
