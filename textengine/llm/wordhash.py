@@ -14,10 +14,9 @@ import numpy as np
 import pyarrow as pa
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
-SLICE = 2 << 20  # bytes of text worked on at once; a longer text is a slice of its own
+SLICE = 1 << 20  # bytes of text worked on at once; a longer text is a slice of its own
 
 
-@cache
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
     a, b = np.full(n, BASE, np.uint64), np.full(n, inverse, np.uint64)
@@ -26,8 +25,12 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
         return np.multiply.accumulate(a), np.multiply.accumulate(b)
 
 
+_kept_powers = cache(_powers)
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(1 << max(12, int(n).bit_length()))
+    """The base's powers and its inverse's, n of them at least; those for a usual slice are kept."""
+    return _kept_powers(SLICE + 8) if n <= SLICE + 8 else _powers(n)
 
 
 @cache
