@@ -43,6 +43,16 @@ def test_base_matches_brute_force(spark):
     check(spark, rows + docs + [None, "", "1" * 30000, "a" * 30000 + "@", "1 " * 20000, "a@" * 5000, "." * 9000, "+1" * 9000])
 
 
+def test_ip_parts_of_zeros_match_brute_force(spark):
+    rng = random.Random(10)
+    parts = ["0", "00", "000", "1", "10", "010", "100", "0255", "00256", "255", "256", ".", ".", ".", " ", "10.0.0.1", "0.0.0.0"]
+    rows = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(1500)]
+    rows += [".".join(str(rng.choice(["0", "00", "007", "9", "199", "249", "0256", "300"])) for _ in range(4)) for _ in range(500)]
+    known = ["10.0.0.1", "192.168.0.1", "127.0.0.1", "0.0.0.0", "1.2.00.3", "0.0.0.256"]
+    assert [len(brute(t)) for t in known] == [1, 1, 1, 1, 1, 0]
+    check(spark, rows + known + ["0" * 4000 + ".0.0." + "0" * 4000 + "256", ("0" * 300 + ".") * 100])
+
+
 def test_method_adds_what_the_shapes_miss(spark):
     rng = random.Random(2)
     rows = [f"please call ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)} or mail jo{rng.randint(1, 99)}@mail{i % 9}.example.com now" for i in range(300)]

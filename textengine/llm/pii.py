@@ -92,7 +92,8 @@ def luhn(number: Column) -> Column:
 def valid(kind: str, text: Column) -> Column:
     """The check that a match of the base pattern passes."""
     if kind == "ip":
-        byte = "0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+        # Leading zeros, then a number from 1 to 255, or zeros alone: no two ways to read a part.
+        byte = "(?:0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?)|0++)"
         return text.rlike(rf"^{byte}(?:\.{byte}){{3}}$")
     if kind == "card":
         return let(digits(text), lambda d: F.when(F.length(d).between(16, 19), luhn(d)).otherwise(False))
