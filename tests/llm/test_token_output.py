@@ -39,6 +39,20 @@ def test_pieces_give_what_whole_texts_give():
     assert [np.frombuffer(x, "<u2").tolist() for x in e.encode(texts)] == plain(texts)
 
 
+def test_added_tokens_are_what_the_library_gives(spark):
+    library = Tokenizer.from_file(PATH)
+    assert library.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    rng = random.Random(5)
+    parts = [" ", "  ", "\n", "a", " the", "é", "日本", "😀", "'", "'s", "12", "...", "<", "|>", "<|", "endoftext", "<|endoftext|>", "<|endoftext|>", "\r\n", "\xa0"]
+    texts = ["a <|endoftext|> b", *("".join(rng.choice(parts) for _ in range(rng.randint(0, 20))) for _ in range(2000))]
+    rows = O.encode_and_read(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), PATH, 2).orderBy("doc_id").collect()
+    start = 0
+    for r, e in zip(rows, library.encode_batch(texts, add_special_tokens=False), strict=True):
+        ids = [*e.ids, 2]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+
+
 def test_parts_are_zstandard_and_checked():
     out = io.BytesIO()
     w = O.PartWriter(out, 2)

@@ -17,7 +17,9 @@ place in the order, so a repeated task replaces its part by the same bytes and a
 nothing that was finished.
 
 Defined results: null texts are empty; null ids go first, with repeated ids in order of their texts; an
-empty document has its end id only; an empty table gives no parts and no rows.
+empty document has its end id only; an empty table gives no parts and no rows. Ids are those of the
+library with its own settings and add_special_tokens=False: an added token's content in a text, such as
+<|endoftext|>, is that token.
 """
 
 from __future__ import annotations
@@ -139,31 +141,49 @@ class Encoder:
     letters and other characters. So a text's ids are those of its pieces in order, which are
     kept in a table of bounded size. New runs of letters are encoded many at a time, one a line; where
     each ends follows from the ids' lengths in bytes. A tokenizer of another kind gets whole texts.
+
+    The library takes added tokens out of a text before anything else, so texts are cut at them first and
+    each is a piece of its own. With special_text the contents of special ones are ordinary text instead.
     """
 
-    def __init__(self, path: str, end_id: int):
+    def __init__(self, path: str, end_id: int, special_text: bool = True):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # the text of a special token is ordinary text
+        self.library.encode_special_tokens = special_text
         size = self.library.get_vocab_size()
         self.width = 2 if max(size, end_id + 1) <= 1 << 16 else 4
         self.code, self.kept = {2: "H", 4: "I"}[self.width], {}
         state = json.loads(self.library.to_str())
         before = state["pre_tokenizer"] or {}
         self.by_piece = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and not state["normalizer"]
+        added = [t for t in state["added_tokens"] if not (special_text and t["special"])]
+        # Tokens that take in their surroundings, or that are looked for in a second pass, are left to the library.
+        self.by_piece = self.by_piece and not any(t[k] for t in added for k in ("single_word", "lstrip", "rstrip", "normalized"))
+        self.added = {t["content"] for t in added}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.cut = re.compile(f"({'|'.join(map(re.escape, longest_first))})").split if added else None
         # A byte-level token is written with one character for each of its bytes.
         self.bytes_of = np.array([len(self.library.id_to_token(i) or "") for i in range(size)])
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _pieces(self, text: str) -> list[str]:
+        if not self.cut:
+            return _PIECES(text)
+        sections = self.cut(text)
+        if len(sections) == 1:
+            return _PIECES(text)
+        return [p for i, s in enumerate(sections) for p in ([s] if i % 2 else _PIECES(s))]
+
     def _learn(self, pieces: list[str]) -> None:
-        runs = [p for p in pieces if p.lstrip(" ").isalpha() and p[:2] != "  "]
-        rest = [p for p in pieces if not p.lstrip(" ").isalpha() or p[:2] == "  "]
+        in_line = {p for p in pieces if p.lstrip(" ").isalpha() and p[:2] != "  "} - self.added
+        runs = [p for p in pieces if p in in_line]
+        rest = [p for p in pieces if p not in in_line]
         self.kept.update(zip(rest, self._whole(rest), strict=True))
         chunks = [runs[i : i + 500] for i in range(0, len(runs), 500)]
         for chunk, ids in zip(chunks, self._whole(["\n".join(c) for c in chunks]), strict=True):
@@ -181,7 +201,7 @@ class Encoder:
         """The ids of each text, little-endian, `width` bytes each."""
         if not self.by_piece:
             return self._whole(texts)
-        split = [_PIECES(t) for t in texts]
+        split = [self._pieces(t) for t in texts]
         kept = self.kept
         new = {p for s in split for p in s if p not in kept}
         if len(kept) + len(new) > KEPT_PIECES:
@@ -196,7 +216,7 @@ class Encoder:
 @lru_cache(maxsize=1)
 def encoder_of(path: str, end_id: int) -> Encoder:
     """One encoder for all tasks of a Python worker."""
-    return Encoder(path, end_id)
+    return Encoder(path, end_id, special_text=False)
 
 
 def _writer(folder: str, tokenizer: str, end_id: int):
