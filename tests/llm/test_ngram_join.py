@@ -72,3 +72,18 @@ def test_edges(spark):
     out = sorted(J.ngram_components(spark.createDataFrame(rows, "doc_id long, text string")).collect(), key=repr)
     assert [r.component_id for r in out if r.doc_id == 7] == [7, 7]
     assert sorted((r.component_id for r in out if r.doc_id is None), key=repr) == [7, None]
+
+
+def test_drop_near_with_repeated_and_null_ids(spark):
+    text = lambda word, end="": " ".join(f"{word}{i}" for i in range(60)) + end
+    rows = [(3, text("a")), (5, text("a", " x")), (5, text("b")), (5, text("b")), (None, text("a", " y"))]
+    rows += [(7, text("c")), (7, text("c", " x")), (8, text("c", " y")), (None, text("d")), (None, text("d", " x")), (None, text("d"))]
+    rows += [(None, text("e")), (9, ""), (9, ""), (None, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS mark", "2 AS stays")
+    kept = J.drop_near(df)
+    assert kept.columns == df.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert sorted([g for g in got if not g[1]], key=repr) == sorted(rows[-4:], key=repr)
+    full = [g for g in got if g[1]]
+    assert sorted(((i, t[0]) for i, t in full), key=repr) == [(3, "a"), (5, "b"), (7, "c"), (None, "d"), (None, "e")]
+    assert set(full) <= set(rows)

@@ -79,9 +79,13 @@ def parities(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
-def _survey(n: int):
+def _survey(n: int, marked: bool = False):
     """Texts -> (doc, class, size) rows, and (null, shingle, count) rows of shingles that SEEN classes or more
-    had among SURVEYED shingles of the task, which bounds what it holds."""
+    had among SURVEYED shingles of the task, which bounds what it holds. A third column goes along as mark."""
+
+    def rows(docs: pa.Array, keys: np.ndarray, counts: np.ndarray, shingle: bool, marks: list[pa.Array]) -> pa.RecordBatch:
+        columns = [docs, pa.array(keys), pa.array(counts), pa.array(np.full(len(docs), shingle)), *(marks if marked else [])]
+        return pa.RecordBatch.from_arrays(columns, ["doc", "key", "n", "shingle", "mark"][: len(columns)])
 
     def frequent(held: list[np.ndarray]) -> pa.RecordBatch:
         every = np.concatenate(held)
@@ -89,7 +93,7 @@ def _survey(n: int):
         starts = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
         counts = np.diff(np.append(starts, len(every)))
         found, counts = every[starts[counts >= SEEN]], counts[counts >= SEEN]
-        return pa.RecordBatch.from_arrays([pa.nulls(len(found), pa.int64()), pa.array(found.view(np.int64)), pa.array(counts.astype(np.int64)), pa.array(np.ones(len(found), bool))], ["doc", "key", "n", "shingle"])
+        return rows(pa.nulls(len(found), pa.int64()), found.view(np.int64), counts.astype(np.int64), True, [pa.nulls(len(found), pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -106,7 +110,7 @@ def _survey(n: int):
                 if size >= SURVEYED:
                     yield frequent(held)
                     held, size, seen = [], 0, set()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(classes), pa.array(sizes), pa.array(np.zeros(batch.num_rows, bool))], ["doc", "key", "n", "shingle"])
+            yield rows(batch.column(0), classes, sizes, False, batch.columns[2:])
         if held:
             yield frequent(held)
 
@@ -194,13 +198,20 @@ def may_link(n1: Column, n2: Column, p1: Column, p2: Column, percent: int) -> Co
     return F.when(sizes, (100 + percent) * differ <= (100 - percent) * (n1 + n2)).otherwise(False)
 
 
+def mark_of(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
 class Join:
-    def __init__(self, docs: DataFrame, id_col: str, text_col: str, n: int, percent: int):
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, n: int, percent: int, marked: bool = False):
         self.spark = docs.sparkSession
         self.n, self.percent = n, percent
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-        survey = cut(self.docs.mapInArrow(_survey(n), "doc long, key long, n long, shingle boolean"), "survey")
-        self.members = survey.where("NOT shingle").select("doc", F.col("key").alias("cls"), "n")
+        #: What tells rows with equal ids apart, where that is asked for.
+        self.mark = ["mark"] if marked else []
+        told = self.docs.withColumn("mark", mark_of("text")) if marked else self.docs
+        survey = cut(told.mapInArrow(_survey(n, marked), "doc long, key long, n long, shingle boolean" + (", mark long" if marked else "")), "survey")
+        self.members = survey.where("NOT shingle").select("doc", F.col("key").alias("cls"), "n", *self.mark)
         self.reps = cut(self.members.where("n > 0").groupBy("cls").agg(F.coalesce(F.min("doc"), F.lit(-(1 << 63))).alias("rep")), "representatives")
         known = survey.where("shingle").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(KNOWN)
         got = known.toArrow()
@@ -299,18 +310,34 @@ class Join:
         return cut(components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(found)), "roots")
 
 
+def _rooted_members(join: Join) -> DataFrame:
+    """(doc, n, root) and the mark, if there is one, of each row."""
+    roots = join.classes()
+    return cut(join.members.join(roots, F.col("cls") == F.col("node"), "left").select("doc", "n", F.coalesce("root", "cls").alias("root"), *join.mark), "members")
+
+
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
     """A row for each row of docs: id, n_shingles, component_id (the smallest id reachable by links)."""
-    join = Join(docs, id_col, text_col, n, percent)
-    roots = join.classes()
-    rows = cut(join.members.join(roots, F.col("cls") == F.col("node"), "left").select("doc", "n", F.coalesce("root", "cls").alias("root")), "members")
+    rows = _rooted_members(Join(docs, id_col, text_col, n, percent))
     least = rows.where("n > 0").groupBy(F.col("root").alias("r")).agg(F.min("doc").alias("least"))
     out = rows.join(least, (F.col("root") == F.col("r")) & (F.col("n") > 0), "left")
     return out.select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("component_id"))
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
-    """The rows of docs that stay, one of each component: the one with the smallest id; rows without shingles all stay."""
-    found = ngram_components(docs, id_col, text_col, n, percent)
-    gone = found.where((F.col(id_col) != F.col("component_id"))).select(F.col(id_col).alias("__te_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("__te_gone"), "left_anti")
+    """The rows of docs that stay, one of each component: the one with the smallest id; rows without shingles all stay.
+
+    Null ids come last, equal ids go by a 64-bit hash of their texts; of rows equal in both any one stays.
+    """
+    rows = _rooted_members(Join(docs, id_col, text_col, n, percent, marked=True)).where("n > 0")
+    key = F.struct(F.col("doc").isNull().alias("no_id"), "doc", "mark")
+    least = rows.groupBy(F.col("root").alias("r")).agg(F.min(key).alias("least"))
+    keyed = rows.join(least, F.col("root") == F.col("r")).groupBy("doc", "mark").agg(F.min(key == F.col("least")).alias("stays"), F.count(F.lit(1)).alias("copies"))
+    told = cut(keyed.where("NOT stays OR copies > 1").select(F.col("doc").alias("__te_d"), F.col("mark").alias("__te_m"), "stays"), "told")
+    held = docs.select("*", F.col(id_col).cast("long").alias("__te_doc"), mark_of(text_col).alias("__te_mark"))
+    same = F.col("__te_doc").eqNullSafe(F.col("__te_d")) & (F.col("__te_mark") == F.col("__te_m"))
+    kept = held.join(told.drop("stays"), same, "left_anti")
+    again = told.where("stays")
+    if not again.isEmpty():
+        kept = kept.union(held.join(again.drop("stays"), same, "left_semi").dropDuplicates(["__te_doc", "__te_mark"]))
+    return kept.drop("__te_doc", "__te_mark")
