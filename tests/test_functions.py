@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from textengine.functions import predicate as T
 from textengine.functions import profile as P
 from textengine.functions import rewrite as R
-from textengine.functions.patterns import WS, portable
+from textengine.functions.patterns import WS, WS_CHARACTERS, any_literal, portable
 
 
 def run(spark, values, f):
@@ -39,7 +39,7 @@ def test_wiki_lines(spark):
         ("See [[other page|the page]] for it", "See the page for it"),
         ("12 January 2019", None), ("costs $5 only, a bargain", None), ("* item that is long enough", "item that is long enough"),
     ]
-    assert run(spark, [a for a, _ in cases], lambda x: R.wiki_line(x, T.wiki_removed(x))) == [b for _, b in cases]
+    assert run(spark, [a for a, _ in cases], lambda x: R.wiki_line(x, T.wiki_removed)) == [b for _, b in cases]
 
 
 def test_labels(spark):
@@ -92,6 +92,20 @@ def test_python_reads_the_plain_patterns_alike(spark):
         assert got == [re.search(p, x, flags) is not None for x in lines], name
 
 
+def test_any_literal_finds_what_contains_does(spark):
+    rng = random.Random(4)
+    words = [*P.MASTER_KEYWORDS, "a.b", "a|", "(x", "-", "^q"]
+    parts = [*words, *(w[:-1] for w in words), *"ad .|(-^q"]
+    lines = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 3))) for _ in range(1500)]
+    assert run(spark, lines, lambda x: x.rlike(any_literal(words))) == [any(w in x for w in words) for x in lines]
+
+
+def test_strip_is_python_strip(spark):
+    texts = [c + "a" + c + "b" + c + c for c in [*WS_CHARACTERS, "\u200b", "\ufeff", "\u180e", "x"]] + ["", WS_CHARACTERS, "ക\u3000"]
+    assert run(spark, texts, R.strip) == [t.strip() for t in texts]
+    assert set(WS_CHARACTERS) == {c for c in map(chr, range(0x110000)) if c.isspace()}
+
+
 def test_portable():
     assert portable(r"[\s]\d\S") == f"[{WS}]" + r"[\p{Nd}]" + f"[^{WS}]"
 

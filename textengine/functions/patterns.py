@@ -7,8 +7,12 @@ because both engines read them as ASCII only. ``java`` adds the flags that make
 
 from __future__ import annotations
 
+import re
+
 #: White space as str.strip() and \s know it, as the inside of a character class.
 WS = r"\t-\r\x1c-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+#: The same characters.
+WS_CHARACTERS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 _INSIDE = {"s": WS, "d": r"\p{Nd}", "w": r"\p{L}\p{N}_"}
 
 
@@ -40,3 +44,24 @@ def java(pattern: str, ignore_case: bool = False) -> str:
 
 def re2(pattern: str, ignore_case: bool = False) -> str:
     return ("(?i)" if ignore_case else "") + portable(pattern)
+
+
+def any_java(patterns: list[str], ignore_case: bool = False) -> str:
+    """One pattern that is found where any of them is: a line is scanned once."""
+    return ("(?diu)" if ignore_case else "(?d)") + "|".join(f"(?:{portable(p)})" for p in patterns)
+
+
+def any_literal(words: list[str]) -> str:
+    """A pattern of all words, as a tree of their beginnings, so that most places are passed by their first character."""
+
+    def tree(rest: list[str]) -> str:
+        if "" in rest:
+            return ""
+        by_first: dict[str, list[str]] = {}
+        for w in rest:
+            by_first.setdefault(w[0], []).append(w[1:])
+        branches = [re.escape(c) + tree(by_first[c]) for c in sorted(by_first)]
+        return branches[0] if len(branches) == 1 else f"(?:{'|'.join(branches)})"
+
+    firsts = "".join(re.escape(c) for c in sorted({w[0] for w in words}))
+    return f"(?=[{firsts}]){tree(words)}" if words else r"(?!)"

@@ -2,19 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from textengine.functions import profile as P
-from textengine.functions.patterns import WS, java
+from textengine.functions.patterns import WS, any_java, any_literal, java
 from textengine.functions.profile import MASTER, STANDALONE, WIKIPEDIA, Profile, WikiProfile
-from textengine.functions.rewrite import strip
-
-
-def _any(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
+from textengine.functions.rewrite import once, strip
 
 
 def count_of(x: Column, inside: str) -> Column:
@@ -23,12 +17,11 @@ def count_of(x: Column, inside: str) -> Column:
 
 
 def has_keyword(line: Column, profile: Profile = MASTER) -> Column:
-    lower = F.lower(line)
-    return _any([lower.contains(k) for k in profile.keywords])
+    return F.lower(line).rlike(any_literal(profile.keywords))
 
 
 def has_pattern(line: Column, profile: Profile = MASTER) -> Column:
-    return _any([line.rlike(java(p, True)) for p in profile.patterns])
+    return line.rlike(any_java(profile.patterns, True))
 
 
 def letter_ratio(line: Column, profile: Profile = MASTER) -> Column:
@@ -50,11 +43,14 @@ def low_native(line: Column, profile: Profile = MASTER) -> Column:
 
 def boilerplate_line(line: Column, profile: Profile = MASTER) -> Column:
     """Blank, or boilerplate by any of the document cleaner's rules, the cheap ones first."""
-    x = strip(line)
+    return once(strip(line), lambda x: boilerplate_trimmed(x, profile))
+
+
+def boilerplate_trimmed(x: Column, profile: Profile = MASTER) -> Column:
     return (
         (x == "")
         | very_short(x, profile)
-        | (~x.rlike(f"[{profile.native}]") & (F.length(x) < profile.foreign_below))
+        | ((F.length(x) < profile.foreign_below) & ~x.rlike(f"[{profile.native}]"))
         | ((F.length(x) > profile.ratio_from) & (letter_ratio(x, profile) < profile.least_letters))
         | low_native(x, profile)
         | has_keyword(x, profile)
@@ -63,32 +59,37 @@ def boilerplate_line(line: Column, profile: Profile = MASTER) -> Column:
 
 
 def line_label(line: Column, profile: Profile = STANDALONE) -> Column:
-    x = strip(line)
-    return (
-        F.when(x == "", "remove_empty")
-        .when(has_keyword(x, profile), "remove_keyword")
-        .when(has_pattern(x, profile), "remove_regex")
-        .when(very_short(x, profile) | low_native(x, profile), "remove_heuristic")
-        .otherwise("keep")
-    )
+    def label(x: Column) -> Column:
+        return (
+            F.when(x == "", "remove_empty")
+            .when(has_keyword(x, profile), "remove_keyword")
+            .when(has_pattern(x, profile), "remove_regex")
+            .when(very_short(x, profile) | low_native(x, profile), "remove_heuristic")
+            .otherwise("keep")
+        )
+
+    return once(strip(line), label)
 
 
 def wiki_matches(x: Column, name: str, profile: WikiProfile = WIKIPEDIA) -> Column:
     return x.rlike(java(profile.patterns[name], name == "stub"))
 
 
-def wiki_removed(line: Column, profile: WikiProfile = WIKIPEDIA) -> Column:
-    x = strip(line)
-    names = ["category", "table", "stub", "year", "date", "latex", "brackets", "wiki_image", "file_path", "phonetic"]
-    return (F.length(x) < profile.least_line) | _any([wiki_matches(x, n, profile) for n in names]) | (wiki_matches(x, "coordinates", profile) & (F.length(x) > 2))
+def wiki_removed(x: Column, profile: WikiProfile = WIKIPEDIA) -> Column:
+    """Whether a trimmed line goes before any rewrite."""
+    names = ["category", "table", "year", "date", "latex", "brackets", "wiki_image", "file_path", "phonetic"]
+    at_once = x.rlike(any_java([profile.patterns[n] for n in names]))
+    return (F.length(x) < profile.least_line) | at_once | wiki_matches(x, "stub", profile) | (wiki_matches(x, "coordinates", profile) & (F.length(x) > 2))
 
 
 def wiki_reason(line: Column, cleaned: Column, profile: WikiProfile = WIKIPEDIA) -> Column:
-    x = strip(line)
-    out = F.when(x == "", "empty")
-    for name in ["category", "table", "latex", "brackets", "wiki_image", "file_path", "phonetic"]:
-        out = out.when(wiki_matches(x, name, profile), name)
-    return out.when(cleaned.isNull(), F.when(F.length(x) < profile.least_line, "short").otherwise("other")).otherwise("keep")
+    def reason(x: Column) -> Column:
+        out = F.when(x == "", "empty")
+        for name in ["category", "table", "latex", "brackets", "wiki_image", "file_path", "phonetic"]:
+            out = out.when(wiki_matches(x, name, profile), name)
+        return out.when(cleaned.isNull(), F.when(F.length(x) < profile.least_line, "short").otherwise("other")).otherwise("keep")
+
+    return once(strip(line), reason)
 
 
 CHILLU_FORM = rf"[{P.CHILLU_CONSONANTS}]{P.VIRAMA}(?![{P.CHILLU_CONSONANTS}])|[\x{{0D7A}}-\x{{0D7F}}]"

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from textengine.functions import profile as P
-from textengine.functions.patterns import WS, java
+from textengine.functions.patterns import WS, WS_CHARACTERS, java
 from textengine.functions.profile import MASTER, WIKIPEDIA, Profile, WikiProfile
 
 
@@ -16,8 +17,13 @@ def sub(x: Column, pattern: str, by: str = "", ignore_case: bool = False) -> Col
     return F.regexp_replace(x, java(pattern, ignore_case), by)
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once however often use refers to it; the optimizer cannot write it out again."""
+    return F.transform(F.array(value), use)[0]
+
+
 def strip(x: Column) -> Column:
-    return F.regexp_replace(x, rf"^[{WS}]+|[{WS}]+\z", "")
+    return F.btrim(x, F.lit(WS_CHARACTERS))
 
 
 def rstrip_newlines(x: Column) -> Column:
@@ -112,18 +118,26 @@ def tokens(line: Column) -> Column:
     return F.regexp_extract_all(line, F.lit(f"[^{WS}]+"), F.lit(0))
 
 
-def wiki_line(line: Column, removed: Column, profile: WikiProfile = WIKIPEDIA) -> Column:
-    """The cleaned line, or null where it goes; `removed` says which lines go before any rewrite."""
+def wiki_line(line: Column, removed: Callable[[Column], Column], profile: WikiProfile = WIKIPEDIA) -> Column:
+    """The cleaned line, or null where it goes; `removed` says of a trimmed line whether it goes before any rewrite."""
     p = profile.patterns
     short = lambda x: F.length(x) < profile.least_line
-    x = sub(sub(strip(line), p["link"], "$1"), p["template"])
-    header = x.rlike(java(p["header"]))
-    x = F.when(header, strip(F.regexp_extract(x, java(p["header"]), 2))).otherwise(x)
-    bullet = x.rlike(java(p["bullet"]))
-    y = F.when(bullet, strip(sub(x, p["bullet"]))).otherwise(x)
-    z = sub(sub(sub(sub(y, p["ref"]), p["url"]), p["inline_brackets"]), p["inline_phonetic"])
-    z = strip(sub(z, p["spaces"], " "))
-    return F.when(~(removed | (header & short(x)) | (bullet & short(y)) | short(z)), z)
+
+    def inline(x: Column) -> Column:
+        z = sub(sub(sub(sub(x, p["ref"]), p["url"]), p["inline_brackets"]), p["inline_phonetic"])
+        return once(strip(sub(z, p["spaces"], " ")), lambda z: F.when(~short(z), z))
+
+    def bare(x: Column, pattern: str, content: Callable[[Column], Column]) -> Column:
+        """x without the mark of a heading or a bullet; null if what is left is short."""
+        return F.when(x.rlike(java(pattern)), once(content(x), lambda y: F.when(~short(y), y))).otherwise(x)
+
+    def rewritten(x: Column) -> Column:
+        x = sub(sub(x, p["link"], "$1"), p["template"])
+        x = once(x, lambda x: bare(x, p["header"], lambda h: strip(F.regexp_extract(h, java(p["header"]), 2))))
+        x = once(x, lambda x: bare(x, p["bullet"], lambda b: strip(sub(b, p["bullet"]))))
+        return inline(x)
+
+    return once(strip(line), lambda x: F.when(~removed(x), rewritten(x)))
 
 
 def human_size(n: Column) -> Column:

@@ -18,14 +18,18 @@ def lines_of(docs: DataFrame, text: str = "text") -> DataFrame:
 def clean_text(raw: Column, profile: Profile = MASTER) -> Column:
     """The document cleaner up to its last check: unescape, chillus, structure, boilerplate lines, trim."""
     text = R.structural_master(R.zwj_to_chillu(R.unescape_newlines(R.strip(raw))), profile)
-    kept = F.filter(F.split(text, "\n"), lambda line: ~T.boilerplate_line(line, profile))
+    kept = F.filter(F.split(text, "\n"), lambda line: ~T.boilerplate_trimmed(line, profile))  # the lines are trimmed there
     return R.strip(F.array_join(kept, "\n"))
 
 
+def long_enough(text: Column, least: int) -> Column:
+    """The text where it has that length, else no row: a generator, so that text is not computed again for the test."""
+    return F.explode(F.filter(F.array(text), lambda t: F.length(t) >= least))
+
+
 def clean_documents(docs: DataFrame, profile: Profile = MASTER) -> DataFrame:
     """docs with text cleaned; documents under the least length go. One narrow stage, no shuffle."""
-    cleaned = docs.withColumn("text", clean_text(F.col("text"), profile))
-    return cleaned.where(F.length("text") >= profile.least_document)
+    return docs.withColumn("text", long_enough(clean_text(F.col("text"), profile), profile.least_document))
 
 
 def clean_counts(docs: DataFrame, profile: Profile = MASTER) -> DataFrame:
@@ -36,7 +40,7 @@ def clean_counts(docs: DataFrame, profile: Profile = MASTER) -> DataFrame:
 
 
 def labelled_lines(docs: DataFrame, profile: Profile = STANDALONE) -> DataFrame:
-    return lines_of(docs).withColumn("label", T.line_label(F.col("line"), profile))
+    return lines_of(docs).withColumn("label", F.explode(F.array(T.line_label(F.col("line"), profile))))  # computed once, whatever reads it
 
 
 def label_counts(labelled: DataFrame) -> DataFrame:
@@ -53,9 +57,12 @@ def removal_log(labelled: DataFrame) -> DataFrame:
 
 def wiki_lines(docs: DataFrame, profile: WikiProfile = WIKIPEDIA) -> DataFrame:
     """lines with cleaned (null where the line goes) and reason."""
-    lines = lines_of(docs)
-    lines = lines.withColumn("cleaned", R.wiki_line(F.col("line"), T.wiki_removed(F.col("line"), profile), profile))
-    return lines.withColumn("reason", T.wiki_reason(F.col("line"), F.col("cleaned"), profile))
+
+    def both(line: Column) -> Column:
+        cleaned = R.wiki_line(line, lambda x: T.wiki_removed(x, profile), profile)
+        return R.once(cleaned, lambda c: F.struct(c.alias("cleaned"), T.wiki_reason(line, c, profile).alias("reason")))
+
+    return lines_of(docs).select("*", F.inline(F.array(both(F.col("line")))))  # computed once, whatever reads it
 
 
 def wiki_output(lines: DataFrame) -> DataFrame:
@@ -89,11 +96,10 @@ def wiki_markup(lines: DataFrame, profile: WikiProfile = WIKIPEDIA) -> DataFrame
 
 def wiki_documents(docs: DataFrame, profile: WikiProfile = WIKIPEDIA) -> DataFrame:
     """Whole documents through the wiki line cleaner; short ones and those without a line of prose go."""
-    cleaned = F.transform(F.split("text", "\n"), lambda line: R.wiki_line(line, T.wiki_removed(line, profile), profile))
-    kept = docs.withColumn("__te_kept", F.filter(cleaned, lambda line: line.isNotNull()))
-    kept = kept.where(F.exists("__te_kept", lambda line: F.length(line) >= profile.least_prose))
-    kept = kept.withColumn("text", R.strip(F.array_join("__te_kept", "\n"))).drop("__te_kept")
-    return kept.where(F.length("text") >= profile.least_document)
+    cleaned = F.transform(F.split("text", "\n"), lambda line: R.wiki_line(line, lambda x: T.wiki_removed(x, profile), profile))
+    prose = lambda lines: F.when(F.exists(lines, lambda line: F.length(line) >= profile.least_prose), R.strip(F.array_join(lines, "\n")))
+    text = R.once(F.filter(cleaned, lambda line: line.isNotNull()), prose)
+    return docs.withColumn("text", long_enough(text, profile.least_document))
 
 
 def structural_stats(docs: DataFrame, profile: Profile = MASTER) -> DataFrame:
