@@ -1,3 +1,5 @@
+import json
+
 from pyspark.sql import functions as F
 
 from textengine.operators import documents as D
@@ -48,8 +50,40 @@ def test_split_sink_and_words(spark, tmp_path):
     assert spark.read.text(f"{tmp_path}/kept").count() == 1
     S.write_sorted_words(spark.createDataFrame([("b",), ("a",), ("ക",)], "word string"), f"{tmp_path}/words")
     assert texts(spark.read.text(f"{tmp_path}/words")) == ["a", "b", "ക"]
-    S.write_mapping(spark.createDataFrame([("k", "v")], "word string, atomic string"), f"{tmp_path}/map")
-    assert texts(spark.read.text(f"{tmp_path}/map")) == ['{"k":"v"}']
+
+
+def test_mapping_round_trip(spark, tmp_path):
+    pairs = [("k", "v"), ("a\"b", "c,d"), ("{x", "}"), ("", "\\"), ("ക്", "ൿ\n")]
+    S.write_mapping(spark.createDataFrame(pairs, "word string, atomic string").repartition(3), f"{tmp_path}/map")
+    files = list((tmp_path / "map").glob("part-*"))
+    assert len(files) == 1 and json.loads(files[0].read_text()) == dict(pairs)
+    assert sorted(map(tuple, S.read_mapping(spark, f"{tmp_path}/map").collect())) == sorted(pairs)
+    S.write_mapping(spark.createDataFrame([], "word string, atomic string"), f"{tmp_path}/none")
+    assert S.read_mapping(spark, f"{tmp_path}/none").count() == 0
+    for i, text in enumerate([json.dumps(dict(pairs)), json.dumps(dict(pairs), indent=2, ensure_ascii=False), "\n".join(json.dumps({k: v}) for k, v in pairs)]):
+        (tmp_path / f"{i}.json").write_text(text)
+        assert sorted(map(tuple, S.read_mapping(spark, f"{tmp_path}/{i}.json").collect())) == sorted(pairs)
+
+
+def test_numbers_of_a_file_read_in_many_splits(spark, tmp_path):
+    lines = [f"line {i} " + "x" * (i * 37 % 90) if i % 11 else "" for i in range(5000)]
+    for name, end in (("a.txt", "\n"), ("b.txt", "\r\n")):
+        (tmp_path / name).write_bytes(end.join(lines).encode())
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        df = S.read_numbered_lines(spark, str(tmp_path))
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 8
+        rows = df.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    for name in ("a.txt", "b.txt"):
+        assert sorted((r.line_no, r.line) for r in rows if r.file.endswith(name)) == list(enumerate(lines, 1))
+
+
+def test_bounded_scan(spark):
+    lines = D.lines_of(spark.createDataFrame([(1, "a []\nb\nc"), (2, "d []\ne []")], "doc_id long, text string"))
+    assert [r.line for r in M.noise_lines(lines, 4).orderBy("doc_id").collect()] == ["a []", "d []"]
 
 
 def test_rewrite_keeps_order_and_punctuation(spark):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textengine.functions import predicate as T
 from textengine.functions import rewrite as R
-from textengine.functions.patterns import WS, portable
+from textengine.functions.patterns import portable
 from textengine.functions.profile import BOM, NOISE_COUNTS, ZWJ, ZWNJ
 
 CLASSES = {"native": r"\x{0D00}-\x{0D7F}", "english": "A-Za-z", "digits": r"0-9\x{0D66}-\x{0D6F}", "spaces": r" \t"}
@@ -77,8 +77,8 @@ def noise_counts(lines: DataFrame) -> DataFrame:
 
 
 def noise_lines(lines: DataFrame, most: int = 1_000_002) -> DataFrame:
-    """Noisy ones among each document's first lines."""
-    return lines.where((F.col("line_no") <= most) & T.has_noise(F.col("line")))
+    """Noisy ones among the first lines of the scan, in the order of documents and lines."""
+    return head_lines(lines, most).where(T.has_noise(F.col("line")))
 
 
 def head_lines(lines: DataFrame, n: int = 1000) -> DataFrame:
@@ -96,6 +96,3 @@ def ratios(lines: DataFrame) -> DataFrame:
     """Lines with the letter and native-script ratios that the heuristics use."""
     x = R.strip(F.col("line"))
     return lines.select("doc_id", "line_no", F.round(T.letter_ratio(x), 6).alias("letters"), F.round(T.native_ratio(x), 6).alias("native"))
-
-
-WHITE_SPACE = WS

@@ -19,6 +19,8 @@ from textengine.plans import inputs as I
 from textengine.plans import sql as S
 from textengine.plans.inputs import quoted as q
 from textengine.plans.inputs import with_input
+from textengine.sources import text as X
+from textengine.storage import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -146,6 +148,57 @@ add("visarga_headwords", "native", lambda d: V.visarga_headwords(DICTIONARY[1](d
 add("visarga_headword_count", "native", lambda d: V.visarga_headwords(DICTIONARY[1](d)).agg(F.count(F.lit(1)).alias("n")), f"SELECT count(*) AS n FROM (SELECT {DICTIONARY[0]} AS line FROM lines) WHERE {S.match('line', _ends)}")
 add("headwords_with_visarga", "native", lambda d: V.headwords_with_visarga(DICTIONARY[1](d)), f"SELECT * FROM (SELECT {S.strip(f'split_part({DICTIONARY[0]}, chr(9), 1)')} AS headword FROM lines) WHERE contains(headword, {q(P.VISARGA)})")
 
+# ---- Scans and sinks: what is written is read again ----
+
+
+def stored(name: str, source: str, write: Callable[[DataFrame, str], None], read: Callable[[SparkSession, str], DataFrame], sql: str) -> None:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        at = scratch(spark, name)
+        write(INPUTS[source](spark, sf_dir), at)
+        return read(spark, at)
+
+    QUERIES[name] = query
+    SQL[name] = with_input(source, sql)
+
+
+stored("stored_lines", "noisy", lambda d, at: X.write_lines(D.lines_of(d), at), X.read_lines, "SELECT line FROM lines")
+stored(
+    "stored_numbered_lines", "noisy", lambda d, at: X.write_lines(D.lines_of(d).repartition(1).sortWithinPartitions("doc_id", "line_no"), at),
+    lambda spark, at: X.read_numbered_lines(spark, at).select("line_no", "line"), "SELECT row_number() OVER (ORDER BY doc_id, line_no) AS line_no, line FROM lines",
+)
+stored("stored_line_count", "noisy", lambda d, at: X.write_lines(D.lines_of(d), at), lambda spark, at: spark.createDataFrame([(X.count_lines(spark, at),)], "lines long"), "SELECT count(*) AS lines FROM lines")
+stored("stored_escaped_documents", "noisy", X.write_escaped_documents, X.read_escaped_documents, f"SELECT {S.unescape(S.strip('replace(text, chr(10), chr(92) || chr(110))'))} AS text FROM input")
+stored("stored_documents", "noisy", X.write_documents, X.read_documents, f"SELECT text FROM (SELECT unnest(string_split(text, chr(10) || chr(10))) AS text FROM input) WHERE {S.strip('text')} <> ''")
+stored("stored_table", "docs", lambda d, at: d.withColumn("text", F.when(F.col("doc_id") % 7 > 0, F.col("text"))).write.parquet(at), X.read_table, "SELECT doc_id, lang, CASE WHEN doc_id % 7 > 0 THEN text ELSE '' END AS text FROM input")
+stored("stored_words", "native", lambda d, at: X.write_sorted_words(V.chillu_words(d), at), X.read_vocabulary, f"{S.words_cte()} SELECT word FROM words")
+stored("stored_mapping", "native", lambda d, at: X.write_mapping(V.chillu_pairs(V.chillu_words(d)), at), X.read_mapping, f"{S.pairs_cte()} SELECT word, atomic FROM pairs")
+_field = f"string_split({DICTIONARY[0]}, chr(9))"
+stored("stored_dictionary", "native", lambda d, at: X.write_lines(DICTIONARY[1](d), at), X.read_dictionary, f"SELECT {_field}[1] AS headword, {_field}[2] AS pos, {_field}[3] AS gloss FROM lines")
+
+
+def _write_both(d: DataFrame, at: str) -> None:
+    X.write_split(D.labelled_lines(d), f"{at}/kept", f"{at}/log")
+
+
+def _read_both(spark: SparkSession, at: str) -> DataFrame:
+    return X.read_lines(spark, f"{at}/kept").select(F.lit("kept").alias("part"), "line").unionByName(X.read_lines(spark, f"{at}/log").select(F.lit("log").alias("part"), "line"))
+
+
+stored(
+    "stored_split", "noisy", _write_both, _read_both,
+    f"{TRIMMED}, l AS (SELECT *, {S.label('x')} AS label FROM t) SELECT 'kept' AS part, line FROM l WHERE label = 'keep' UNION ALL SELECT 'log', '[' || label || '] L' || line_no || ': ' || x FROM l WHERE label <> 'keep'",
+)
+_zero_width = ", ".join(f"sum(length(text) - length(replace(text, {q(c)}, '')))::BIGINT AS {n}" for n, c in (("zwj", P.ZWJ), ("zwnj", P.ZWNJ), ("bom", P.BOM)))
+stored(
+    "stored_report", "noisy", lambda d, at: X.write_report(M.zero_width_counts(d), at), X.read_lines,
+    f", z AS (SELECT {_zero_width} FROM input), u AS (SELECT name, value::VARCHAR AS value FROM (UNPIVOT z ON zwj, zwnj, bom)) SELECT rpad(name, 24, ' ') || value AS line FROM u",
+)
+_sample = f", s AS (SELECT doc_id, line_no, line FROM lines ORDER BY md5('audit:' || doc_id || ':' || line_no) LIMIT 100), t AS (SELECT doc_id, line_no, {S.strip('line')} AS line FROM s) "
+stored(
+    "stored_sample_report", "noisy", lambda d, at: X.write_sample_report(M.audit_sample(D.lines_of(d)), at), lambda spark, at: X.read_lines(spark, at).where("line != ''"),
+    f"{_sample}, n AS (SELECT row_number() OVER (ORDER BY doc_id, line_no) AS k, line FROM t WHERE line <> '') SELECT 'SAMPLE #' || k || ':' AS line FROM n UNION ALL SELECT line FROM n",
+)
+
 # ---- Metrics ----
 _words = f",\nw AS (SELECT unnest({S.tokens('line')}) AS word FROM lines), counts AS (SELECT word, count(*) AS n FROM w GROUP BY word)\n"
 add(
@@ -174,7 +227,11 @@ add(
     "SELECT " + ", ".join(f"sum(length(text) - length(replace(text, {q(c)}, '')))::BIGINT AS {n}" for n, c in (("zwj", P.ZWJ), ("zwnj", P.ZWNJ), ("bom", P.BOM))) + " FROM input",
 )
 add("noise_counts", "noisy", lambda d: M.noise_counts(D.lines_of(d)), "SELECT " + ", ".join(f"sum(len(regexp_extract_all(line, {q(p)})))::BIGINT AS {n}" for n, p in P.NOISE_COUNTS.items()) + " FROM lines")
-add("noise_lines", "noisy", lambda d: M.noise_lines(D.lines_of(d)), f"SELECT doc_id, line_no, line FROM lines WHERE line_no <= 1000002 AND {S.match('line', re2('|'.join(P.NOISE_SCAN)))}")
+for _name, _most in (("noise_lines", 1_000_002), ("noise_lines_of_head", 4000)):
+    add(
+        _name, "noisy", lambda d, n=_most: M.noise_lines(D.lines_of(d), n),
+        f", head AS (SELECT * FROM lines ORDER BY doc_id, line_no LIMIT {_most}) SELECT doc_id, line_no, line FROM head WHERE {S.match('line', re2('|'.join(P.NOISE_SCAN)))}",
+    )
 add("head_lines", "noisy", lambda d: M.head_lines(D.lines_of(d)), "SELECT doc_id, line_no, line FROM lines ORDER BY doc_id, line_no LIMIT 1000")
 add("line_count", "noisy", lambda d: D.lines_of(d).agg(F.count(F.lit(1)).alias("lines")), "SELECT count(*) AS lines FROM lines")
 add(

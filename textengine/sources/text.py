@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textengine.functions import rewrite as R
@@ -15,10 +15,19 @@ def read_lines(spark: SparkSession, path: str, replace_bad_bytes: bool = True) -
 
 
 def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_no from 1, line). Numbers need whole files: each is one task's, as a window over its lines."""
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.make_valid_utf8("value").alias("text"))
-    text = F.regexp_replace(F.regexp_replace("text", r"\r\n?", "\n"), r"\n\z", "")
-    return whole.select("file", F.posexplode(F.split(text, "\n")).alias("at", "line")).select("file", (F.col("at") + 1).alias("line_no"), "line")
+    """(file, line_no from 1, line). A file is read in splits; its splits' line counts, a small table, give where each begins.
+
+    The files are scanned once for the counts and once for the lines; a split's rows come from one task, in
+    order, so their running ids are consecutive in both scans.
+    """
+    rows = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.make_valid_utf8("value").alias("line")
+    )
+    blocks = rows.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("block")) - F.col("n")
+    blocks = blocks.select(F.col("file").alias("f"), F.col("block").alias("b"), (before - F.col("first") + 1).alias("shift"))
+    numbered = rows.join(blocks, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b")))
+    return numbered.select("file", (F.col("at") + F.col("shift")).alias("line_no"), "line")
 
 
 def read_escaped_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -43,13 +52,18 @@ def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_mapping(spark: SparkSession, path: str) -> DataFrame:
-    """(word, atomic) of a JSON object; none if the file is missing or no such object."""
+    """(word, atomic) of JSON objects with text values; none if the file is missing or holds no such object.
+
+    Read line by line, so files are split: a line may be a whole object, one entry of an object
+    printed over lines, or a bracket. A line that is none of these gives nothing.
+    """
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
         return spark.createDataFrame([], "word string, atomic string")
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.explode(F.from_json("value", "map<string,string>")).alias("word", "atomic"))
+    body = F.regexp_replace(R.strip(F.col("line")), r"^,\s*|,$", "")
+    whole = F.concat(F.when(body.startswith("{"), "").otherwise("{"), body, F.when(body.endswith("}"), "").otherwise("}"))
+    return read_lines(spark, path).select(F.explode(F.from_json(whole, "map<string,string>")).alias("word", "atomic"))
 
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
@@ -83,8 +97,12 @@ def write_split(labelled: DataFrame, kept_path: str, log_path: str) -> None:
 
 
 def write_mapping(pairs: DataFrame, path: str) -> None:
-    """A JSON object a line, {word: atomic} each, in as many files as tasks."""
-    pairs.select(F.to_json(F.create_map("word", "atomic")).alias("value")).write.text(path)
+    """One JSON object {word: atomic}, an entry a line in the order of words, in one file, as a vocabulary is small beside its corpus."""
+    entry = F.expr("substring(to_json(map(word, atomic)), 2, length(to_json(map(word, atomic))) - 2)")
+    first = pairs.agg(F.min("word").alias("first"))
+    entries = pairs.crossJoin(F.broadcast(first)).select(F.lit(1).alias("kind"), "word", F.concat(F.when(F.col("word") == F.col("first"), "").otherwise(","), entry).alias("value"))
+    ends = pairs.sparkSession.createDataFrame([(0, "", "{"), (2, "", "}")], "kind int, word string, value string")
+    entries.unionByName(ends).repartition(1).sortWithinPartitions("kind", "word").select("value").write.text(path)
 
 
 def write_sorted_words(words: DataFrame, path: str) -> None:
@@ -100,3 +118,13 @@ def report(metrics: DataFrame) -> DataFrame:
 
 def sample_report(sample: DataFrame) -> DataFrame:
     return sample.select("sample_no", F.format_string("SAMPLE #%d:\n%s\n", "sample_no", "line").alias("block"))
+
+
+def write_report(metrics: DataFrame, path: str) -> None:
+    """A line for each metric: its name, padded, and its value."""
+    report(metrics).select(F.concat(F.rpad("name", 24, " "), "value").alias("value")).write.text(path)
+
+
+def write_sample_report(sample: DataFrame, path: str) -> None:
+    """The samples in order, each under its number, with a blank line after it; samples are few, so they are one file."""
+    sample_report(sample.repartition(1).sortWithinPartitions("sample_no")).select(F.col("block").alias("value")).write.text(path)
