@@ -5,16 +5,20 @@ same set are one class, so copies never make pairs. The global n-gram order is c
 candidate pair's overlap is counted in each fragment on its own, from the two classes' segments there,
 and the partial overlaps are summed per pair.
 
-Candidates come in steps, so that large groups of near copies don't make all their pairs:
-
-1. Classes that share one of their BOTTOM smallest hashes are paired with the first class of that group
-   and with the one before them. The links among these already join nearly all near copies.
-2. Shingles of prefixes (see 3) that more than LARGE classes share pair each class with a few others,
-   by size and by chance, for up to ROUNDS rounds; what is in one component already is not paired.
-3. All classes that share a shingle of their prefixes (the first |x| - ceil(0.85 |x|) + 1 in the global
-   order: linked sets always share one) and are not in one component yet are paired. Shingles known to
-   repeat come last in the order, by count; the list of them is bounded (KNOWN), found by every task
-   among its own documents, and only moves work: any order gives the same links.
+Candidates come in steps, so that groups of near copies don't make all their pairs:
+
+1. Classes that share a shingle of their prefixes (the first |x| - ceil(0.85 |x|) + 1 in the global order:
+   linked sets always share one) are the only ones that can be linked. Shingles known to repeat come last
+   in the order, by count; the list of them is bounded (KNOWN), found by every task among its own
+   documents, and only moves work: any order gives the same links.
+2. Those classes are sorted by their sketches (the smallest hash in each of SKETCH ranges of the hashes),
+   once for every rotation of them, and each is paired with the few before it whose sketches mostly agree.
+   That is a linear number of pairs, and their links join nearly all near copies. What it misses is found
+   by step 3, so no group need be whole in a task: the sorted rows are cut anywhere.
+3. Of the classes that share a shingle of their prefixes, all that are not in one component yet are
+   paired. In a shingle's group only the classes outside its largest component look for partners, so a
+   group that is one component, but for a few, costs its size times those few. Before all partners are
+   tried, growing blocks of them are (BLOCKS): what joins a component there needs no other partner of it.
 
 Before any set is fetched, pairs must pass the length bound, a bound by where in the order
 they first meet, and a bound by parity bits (about one for a shingle): the bits
@@ -40,9 +44,10 @@ from textengine.llm.components import components
 from textengine.llm.wordhash import mix, runs, slices
 
 N, PERCENT = 4, 85
-FRAGMENTS, BOTTOM, KNOWN, FILTER_BITS = 4, 2, 1 << 20, 1 << 24
+FRAGMENTS, KNOWN, FILTER_BITS = 4, 1 << 20, 1 << 24
 PARITY_WORDS = 4  # of 64 bits, at least
-LARGE, ROUNDS = 16, 2
+SKETCH, ROTATIONS, BACK, AGREE = 16, 8, 4, 10  # hashes a sketch, sorted orders, partners in each, hashes that agree
+BLOCKS = [(0, 0), (1, 4), (0, 15)]  # of sixteen; the last one is all
 SEEN, SURVEYED = 3, 6_000_000
 SENT = 250_000  # pairs or nodes of 16 to 40 bytes that are broadcast at most; more are joined by shuffling
 
@@ -79,6 +84,31 @@ def parities(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """The smallest hash in each of SKETCH equal ranges (of an empty range: in the next), of ascending hashes."""
+    edges = np.arange(SKETCH, dtype=np.uint64) << np.uint64(64 - SKETCH.bit_length() + 1)
+    return shingles[np.searchsorted(shingles, edges) % len(shingles)].view(np.int64)
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted (cls, sketch, turn) rows -> pairs (u, v) of each with the BACK rows before it of its turn that mostly agree."""
+    held = None
+    for batch in batches:
+        cls, turn = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+        sketches = batch.column(1).flatten().to_numpy().reshape(-1, SKETCH)
+        if held is not None:
+            cls, sketches, turn = (np.concatenate([a, b]) for a, b in zip(held, (cls, sketches, turn), strict=True))
+        old = 0 if held is None else len(held[0])
+        u, v = [], []
+        for k in range(1, BACK + 1):
+            here = np.arange(max(old, k), len(cls))
+            near = here[(turn[here] == turn[here - k]) & ((sketches[here] == sketches[here - k]).sum(1) >= AGREE) & (cls[here] != cls[here - k])]
+            u.append(np.minimum(cls[near], cls[near - k]))
+            v.append(np.maximum(cls[near], cls[near - k]))
+        held = cls[-BACK:], sketches[-BACK:], turn[-BACK:]
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], ["u", "v"])
+
+
 def _survey(n: int, marked: bool = False):
     """Texts -> (doc, class, size) rows, and (null, shingle, count) rows of shingles that SEEN classes or more
     had among SURVEYED shingles of the task, which bounds what it holds. A third column goes along as mark."""
@@ -89,10 +119,10 @@ def _survey(n: int, marked: bool = False):
 
     def frequent(held: list[np.ndarray]) -> pa.RecordBatch:
         every = np.concatenate(held)
+        held.clear()
         every.sort()
-        starts = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
-        counts = np.diff(np.append(starts, len(every)))
-        found, counts = every[starts[counts >= SEEN]], counts[counts >= SEEN]
+        found = np.unique(every[SEEN - 1 :][every[SEEN - 1 :] == every[: len(every) - SEEN + 1]])
+        counts = np.searchsorted(every, found, "right") - np.searchsorted(every, found)
         return rows(pa.nulls(len(found), pa.int64()), found.view(np.int64), counts.astype(np.int64), True, [pa.nulls(len(found), pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,7 +139,7 @@ def _survey(n: int, marked: bool = False):
                     size += len(s)
                 if size >= SURVEYED:
                     yield frequent(held)
-                    held, size, seen = [], 0, set()
+                    size, seen = 0, set()
             yield rows(batch.column(0), classes, sizes, False, batch.columns[2:])
         if held:
             yield frequent(held)
@@ -118,7 +148,7 @@ def _survey(n: int, marked: bool = False):
 
 
 def _profiles(n: int, percent: int, known):
-    """Texts -> (class, n, parity, bottom, prefix)."""
+    """Texts -> (class, n, parity, sketch, prefix)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, ranks = known.value
@@ -133,11 +163,11 @@ def _profiles(n: int, percent: int, known):
                     at = np.minimum(np.searchsorted(hashes, s), len(hashes) - 1)
                     late = hashes[at] == s
                     prefix = np.concatenate([s[~late], s[late][np.argsort(ranks[at[late]], kind="stable")]]) if late.any() else s
-                rows.append((class_of(s), len(s), parities(s), s[:BOTTOM].view(np.int64), prefix[:k].view(np.int64)))
+                rows.append((class_of(s), len(s), parities(s), sketch(s), prefix[:k].view(np.int64)))
             if rows:
                 columns = list(zip(*rows, strict=True))
                 lists = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in c])]), pa.int32()), pa.array(np.concatenate(c))) for c in columns[2:]]
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), *lists], ["cls", "n", "parity", "bottom", "prefix"])
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), *lists], ["cls", "n", "parity", "sketch", "prefix"])
 
     return run
 
@@ -147,36 +177,26 @@ def _places(keys: np.ndarray) -> np.ndarray:
     return np.concatenate([h & np.uint64(FILTER_BITS - 1), (h >> np.uint64(32)) & np.uint64(FILTER_BITS - 1)]).astype(np.int64)
 
 
-def _rep_keys(classes: np.ndarray, docs: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return classes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mix(docs.view(np.uint64))
-
-
 def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bits = np.zeros(FILTER_BITS, bool)
     for batch in batches:
-        keys = _rep_keys(batch.column(0).to_numpy(), batch.column(1).to_numpy())
-        bits[_places(keys)] = True
+        bits[_places(batch.column(0).to_numpy())] = True
     yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["bits"])
 
 
 def _segments(n: int, wanted, fragments: int):
-    """Texts -> (class, fragment, shingles) of the documents that pass the filter."""
+    """Texts -> (class, fragment, shingles) of the documents whose ids pass the filter; only these are hashed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(np.frombuffer(wanted.value, np.uint8)).view(bool)
         shift = np.uint64(64 - int(fragments).bit_length() + 1)
         for batch in batches:
-            docs = batch.column(0).fill_null(-(1 << 63)).to_numpy()
-            for i, s in sets(batch.column(1), n):
-                if not len(s):
-                    continue
-                c = class_of(s)
-                if not bits[_places(_rep_keys(np.array([c], np.int64), docs[i : i + 1]))].all():
-                    continue
-                edges = np.searchsorted(s >> shift, np.arange(fragments + 1, dtype=np.uint64))
-                lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(s.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(fragments, c)), pa.array(np.arange(fragments), pa.int32()), lists], ["cls", "fragment", "shingles"])
+            places = _places(batch.column(0).fill_null(-(1 << 63)).to_numpy()).reshape(2, -1)
+            for _, s in sets(batch.column(1).filter(pa.array(bits[places].all(0))), n):
+                if len(s):
+                    edges = np.searchsorted(s >> shift, np.arange(fragments + 1, dtype=np.uint64))
+                    lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(s.view(np.int64)))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(fragments, class_of(s))), pa.array(np.arange(fragments), pa.int32()), lists], ["cls", "fragment", "shingles"])
 
     return run
 
@@ -220,7 +240,7 @@ class Join:
         rank = np.empty(len(order), np.int32)
         rank[np.lexsort((hashes, counts))] = np.arange(len(order), dtype=np.int32)
         late = self.spark.sparkContext.broadcast((hashes[order], rank[order]))
-        self.profiles = cut(self.docs.mapInArrow(_profiles(n, percent, late), "cls long, n long, parity array<long>, bottom array<long>, prefix array<long>"), "profiles")
+        self.profiles = cut(self.docs.mapInArrow(_profiles(n, percent, late), "cls long, n long, parity array<long>, sketch array<long>, prefix array<long>"), "profiles")
 
         facts = self.profiles.groupBy("cls").agg(F.first("n").alias("n"), F.first("parity").alias("parity"))
         self.facts = cut(facts, "facts")
@@ -240,10 +260,10 @@ class Join:
         facts = self.facts.join(ends, F.col("cls") == F.col("c")).groupBy("u", "v").agg(of("n", False).alias("n1"), of("n", True).alias("n2"), of("parity", False).alias("p1"), of("parity", True).alias("p2"))
         return cut(facts.where(may_link(F.col("n1"), F.col("n2"), F.col("p1"), F.col("p2"), self.percent)).select("u", "v", "n1", "n2"), "near")
 
-    def segments(self, classes: DataFrame) -> DataFrame:
-        """(cls, fragment, shingles) of the classes at least, from one document of each; no shuffle."""
-        wanted = cut(classes.distinct().join(self.reps, "cls"), "wanted")
-        parts = wanted.coalesce(16).mapInArrow(_bits, "bits binary").collect()  # at most 16 bit fields of a fixed size
+    def segments(self, near: DataFrame) -> DataFrame:
+        """(cls, fragment, shingles) of the pairs' classes at least, from one document of each; no shuffle."""
+        wanted = cut(near.select(F.explode(F.array("u", "v")).alias("cls")).distinct().join(self.reps, "cls"), "wanted")
+        parts = wanted.select("rep").coalesce(16).mapInArrow(_bits, "bits binary").collect()  # at most 16 bit fields of a fixed size
         bits = np.zeros(FILTER_BITS // 8, np.uint8)
         for p in parts:
             bits |= np.frombuffer(p.bits, np.uint8)
@@ -260,51 +280,46 @@ class Join:
         sums = partial.groupBy("u", "v").agg(F.sum("sizes").alias("sizes"), F.sum("overlap").alias("overlap"))
         return sums.where(100 * F.col("overlap") >= self.percent * (F.col("sizes") - F.col("overlap"))).select("u", "v")
 
-    def bottom_pairs(self) -> DataFrame:
-        rows = self.profiles.select("cls", F.explode("bottom").alias("shingle")).distinct()
-        group = Window.partitionBy("shingle")
-        rows = rows.select("cls", F.min("cls").over(group).alias("a"), F.lag("cls").over(group.orderBy("cls")).alias("b"))
-        return self._pairs(rows, ["a", "b"])
+    def sketches(self, classes: DataFrame) -> DataFrame:
+        rows = self.profiles.select("cls", "sketch").join(classes.withColumnRenamed("cls", "c"), F.col("cls") == F.col("c"), "left_semi")
+        turns = F.sequence(F.lit(0), F.lit(SKETCH - 1), F.lit(SKETCH // ROTATIONS))
+        return cut(rows.dropDuplicates(["cls"]).select("cls", "sketch", F.explode(turns).alias("turn")), "sketches")
 
-    @staticmethod
-    def _pairs(rows: DataFrame, others: list[str]) -> DataFrame:
-        pairs = rows.select("cls", F.explode(F.array(*others)).alias("o")).where("o IS NOT NULL AND o != cls")
-        return pairs.select(F.least("cls", "o").alias("u"), F.greatest("cls", "o").alias("v"))
+    def neighbours(self, sketches: DataFrame) -> DataFrame:
+        """(u, v): classes next to each other in the sorted orders of their sketches."""
+        order = ["turn", *[F.get("sketch", (F.col("turn") + i) % SKETCH) for i in range(BACK)], "cls"]
+        ordered = sketches.repartitionByRange(partitions(self.spark), *order).sortWithinPartitions(*order)
+        return ordered.mapInArrow(_neighbours, "u long, v long")
 
-    @staticmethod
-    def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    def _rooted(self, rows: DataFrame, roots: DataFrame) -> DataFrame:
         roots = F.broadcast(roots) if roots.count() <= SENT else roots
-        return rows.join(roots, F.col("cls") == F.col("node"), "left").select("shingle", "cls", "n", "at", F.coalesce("root", "cls").alias("root"))
+        return rows.join(roots, F.col("cls") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cls")).drop("node")
 
     def classes(self) -> DataFrame:
         """(node, root) of all classes that are linked with another one."""
         group = Window.partitionBy("shingle")
         rows = self.profiles.select("cls", "n", F.posexplode("prefix").alias("at", "shingle")).repartition(partitions(self.spark), "shingle")
-        rows = rows.withColumn("more", F.min("cls").over(group) != F.max("cls").over(group)).where("more").drop("more")
-        shared = cut(rows.distinct().withColumn("members", F.count(F.lit(1)).over(group)), "shared")
-        large = cut(shared.where(F.col("members") > LARGE).select("shingle", "cls", "n", "at"), "large")
-        near = self.bounded(self.bottom_pairs())
-        held = self.segments(near.select(F.col("u").alias("cls")).union(near.select(F.col("v").alias("cls"))).union(large.select("cls")))
-        roots = cut(components(self.links(near, held)), "roots")
-        for k in range(ROUNDS):  # large groups: a few partners for each class, until no more join
-            here = self._rooted(large, roots)
-            by_size, by_hash = group.orderBy("n", F.xxhash64("cls", F.lit(k))), group.orderBy(F.xxhash64("cls", F.lit(k)))
-            at = {f"{c}{i}": F.lag(F.struct("cls", "root"), i).over(w) for c, w in (("s", by_size), ("h", by_hash)) for i in (1, 2)}
-            picked = here.select("cls", "root", *[x.alias(c) for c, x in at.items()])
-            picked = picked.select("cls", *[F.when(F.col(f"{c}.root") != F.col("root"), F.col(f"{c}.cls")).alias(c) for c in at])
-            found = cut(self.links(self.bounded(self._pairs(picked, list(at))), held), "found")
-            if found.isEmpty():
-                break
-            roots = self._join(roots, found)
-        mixed = self._rooted(shared, roots).withColumn("more", F.min("root").over(group) != F.max("root").over(group)).where("more").drop("more")
-        mixed = cut(mixed, "mixed")
-        x = mixed.select("shingle", F.col("cls").alias("u"), F.col("n").alias("m1"), (F.col("n") - F.col("at")).alias("left1"), F.col("root").alias("r1"))
-        y = mixed.select("shingle", F.col("cls").alias("v"), F.col("n").alias("m2"), (F.col("n") - F.col("at")).alias("left2"), F.col("root").alias("r2"))
+        shared = rows.withColumn("more", F.min("cls").over(group) != F.max("cls").over(group)).where("more")
+        shared = cut(shared.select("shingle", "cls", "n", (F.col("n") - F.col("at")).alias("rest")).distinct(), "shared")
+        near = self.bounded(self.neighbours(self.sketches(shared.select("cls").distinct())))
+        roots = components(self.links(near, self.segments(near)))
+        for block in BLOCKS:
+            near = self.bounded(self.apart(shared, roots, block))
+            roots = self._join(roots, self.links(near, self.segments(near)))
+        return roots
+
+    def apart(self, shared: DataFrame, roots: DataFrame, block: tuple[int, int]) -> DataFrame:
+        """(u, v): pairs that share a shingle of their prefixes and are not in one component, with partners of a block of hashes only."""
+        rooted = cut(self._rooted(shared, roots), "rooted")
+        sizes = rooted.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("members"))
+        largest = sizes.groupBy(F.col("shingle").alias("s")).agg(F.max(F.struct("members", "root"))["root"].alias("largest"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
+        mixed = cut(rooted.join(largest.drop("roots"), F.col("shingle") == F.col("s")).drop("s"), "mixed")
+        x = mixed.where("root != largest").select("shingle", F.col("cls").alias("c1"), F.col("n").alias("m1"), F.col("rest").alias("rest1"), F.col("root").alias("r1"))
+        y = mixed.where(F.pmod(F.xxhash64("cls"), F.lit(16)).between(*block)).select("shingle", F.col("cls").alias("c2"), F.col("n").alias("m2"), F.col("rest").alias("rest2"), F.col("root").alias("r2"), "largest")
+        once = (F.col("r1") != F.col("r2")) & ((F.col("c1") < F.col("c2")) | (F.col("r2") == F.col("largest")))
         # At the first shingle in the order that two sets share, the overlap is at most what each has left.
-        sizes = (100 + self.percent) * F.least("left1", "left2") >= self.percent * (F.col("m1") + F.col("m2"))
-        near = self.bounded(x.join(y, (x.shingle == y.shingle) & (F.col("u") < F.col("v")) & (F.col("r1") != F.col("r2")) & sizes).select("u", "v"))
-        held = self.segments(near.select(F.col("u").alias("cls")).union(near.select(F.col("v").alias("cls"))))
-        return self._join(roots, self.links(near, held))
+        fit = (100 + self.percent) * F.least("rest1", "rest2") >= self.percent * (F.col("m1") + F.col("m2"))
+        return x.join(y, (x.shingle == y.shingle) & once & fit).select(F.least("c1", "c2").alias("u"), F.greatest("c1", "c2").alias("v"))
 
     def _join(self, roots: DataFrame, found: DataFrame) -> DataFrame:
         return cut(components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(found)), "roots")
