@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textengine.storage import cut, scratch, shared_dir
+
+__all__ = ["NOT_WS", "WS", "cut", "let", "partitions", "scratch", "shared_dir", "table", "words_of"]
+
 #: The characters that separate words everywhere in this subpackage, as a Java class.
 WS = r"[\x20\x09-\x0D]"
 NOT_WS = r"[^\x20\x09-\x0D]"
@@ -18,37 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. A local one is made only where none is named."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        have = spark.sparkContext._jsc.sc().getCheckpointDir()
-        at = have.get() if have.isDefined() else None
-    if not at:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        at = "file://" + tempfile.mkdtemp(prefix="textengine-")
-        spark.sparkContext.setCheckpointDir(at)
-    return at if ":/" in at else f"file://{at}"
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder; it goes when the driver ends."""
-    parent = f"{shared_dir(spark).rstrip('/')}/textengine/{uuid.uuid4().hex}"
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(parent)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(path)
-    fs.deleteOnExit(path)
-    return f"{parent}/{name}"
-
-
-def cut(df: DataFrame, name: str = "cut") -> DataFrame:
-    """df as a written table in the shared folder: computed once, safe from lost executors, without lineage."""
-    at = scratch(df.sparkSession, name)
-    df.write.parquet(at)
-    return df.sparkSession.read.schema(df.schema).parquet(at)
-
-
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """use(value), with value computed once however often use refers to it."""
     return F.transform(F.array(value), use)[0]

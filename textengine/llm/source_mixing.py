@@ -4,7 +4,8 @@ Each document has a rate: how often the mix takes it. Of all rates between 0 and
 token constraint of every source, those closest to 1 in relative entropy are rate = min(limit,
 exp(lambda_source * size / mean size of the source)). The convex dual has one multiplier a source, and
 its gradient and curvature are sums over documents, so each Newton step is one distributed aggregation
-over the (source, size) histogram; steps that leave the bracket are halved instead. The rates are then
+over the (source, size) histogram; steps that leave the bracket are halved instead, and multipliers that
+do not settle are an error. The rates are then
 rounded into copies: within a cell of equal source and size the copies total a whole number, and what
 that rounding leaves over is carried from the cell of the largest size to the smallest, so a source
 misses its target by about half of its smallest documents.
@@ -19,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textengine.llm.common import WS, cut, words_of
@@ -70,6 +71,8 @@ def multipliers(cells: DataFrame, goals: DataFrame, limit: float = LIMIT, tolera
         }
     )
     state = cut(state, "dual")
+    if state.isEmpty():
+        return state.select("source", "target", "mean", "lam")
     for _ in range(most_steps):
         z = F.col("size") / F.col("mean")
         e = F.exp(F.least(F.col("lam") * z, F.lit(50.0)))
@@ -97,8 +100,8 @@ def multipliers(cells: DataFrame, goals: DataFrame, limit: float = LIMIT, tolera
             "dual",
         )
         if state.where("NOT done").isEmpty():
-            break
-    return state.select("source", "target", "mean", "lam")
+            return state.select("source", "target", "mean", "lam")
+    raise RuntimeError(f"the multipliers did not settle in {most_steps} Newton steps")
 
 
 def _round_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -156,12 +159,24 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     return rows.select(F.col("id").alias(id_col), "size", "source", "source_size", "target", "rate", taken.alias("copies"))
 
 
+def row_key(docs: DataFrame) -> Column:
+    """A hash of all columns, and of which are null: rows with one key are the same row, but for a chance of 2^-64 a pair."""
+    return F.xxhash64(F.concat(*[F.col(f"`{c}`").isNull().cast("int").cast("string") for c in docs.columns]), *[F.col(f"`{c}`") for c in docs.columns])
+
+
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, share: float = SHARE, limit: float = LIMIT) -> DataFrame:
-    """The mix itself: the rows of docs, each as often as the mix takes it, with all their columns."""
-    keyed = docs.withColumn("__te_key", F.xxhash64(id_col, text_col, source_col))
+    """The mix itself: the rows of docs, each as often as the mix takes it, with all their columns.
+
+    Rows are told apart by all their columns; id_col does not matter here. Rows that agree in all of them
+    are taken as often as the mix takes them together, dealt out evenly between them.
+    """
+    keyed = docs.withColumn("__te_key", row_key(docs))
     chosen = mix(keyed.select("__te_key", F.col(text_col), F.col(source_col)), "__te_key", text_col, source_col, weights, share, limit)
-    # Repeated rows have one key and are the same, so their copies can be taken of any one of them.
-    plan = chosen.groupBy(F.col("__te_key").alias("__te_of")).agg(F.sum("copies").cast("int").alias("__te_copies"), F.count(F.lit(1)).alias("__te_rows")).where("__te_copies > 0")
+    plan = chosen.groupBy(F.col("__te_key").alias("__te_of")).agg(F.sum("copies").alias("__te_copies"), F.count(F.lit(1)).alias("__te_rows")).where("__te_copies > 0")
     joined = keyed.join(plan, F.col("__te_key") == F.col("__te_of"))
-    single = joined.where("__te_rows = 1").unionByName(joined.where("__te_rows > 1").dropDuplicates(["__te_key"]))
-    return single.withColumn("__te_copy", F.explode(F.sequence(F.lit(1), F.col("__te_copies")))).select(*docs.columns)
+    alone = joined.where("__te_rows = 1").withColumn("__te_times", F.col("__te_copies"))
+    # Of repeated rows each has the whole part, and as many as are left over come from one of them.
+    every = joined.where("__te_rows > 1").withColumn("__te_times", F.floor(F.col("__te_copies") / F.col("__te_rows")))
+    left = joined.where("__te_rows > 1 AND __te_copies % __te_rows > 0").dropDuplicates(["__te_key"]).withColumn("__te_times", F.col("__te_copies") % F.col("__te_rows"))
+    taken = alone.unionByName(every).unionByName(left).where("__te_times > 0")
+    return taken.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1).cast("long"), F.col("__te_times"))).alias("__te_copy")).drop("__te_copy")
