@@ -43,6 +43,23 @@ def test_decode_of_broken_bytes(both):
         assert own.decode(ids) == library.decode(ids)
 
 
+def test_byte_arcs_write_the_bytes_of_a_character(both):
+    own, library = both
+    for c in ["😀", "\x00", "\u0D15", "𐍈"]:
+        assert own.written(c) == tuple(own.bytes[b] for b in c.encode()) or c in own.ids
+        assert own.encode(c) == library.encode(c)
+    assert own.written("ing") == (own.ids["ing"],)
+
+
+def test_other_models_are_refused(both):
+    with open(PATH, "rb") as f:
+        model = f.read()
+    with pytest.raises(ValueError):
+        T.Transducer(model + bytes([0x12, 2, 0x18, 1]))  # a later field that says unigram
+    with pytest.raises(ValueError):
+        T.Transducer(model + bytes([0x1A, 3, 0x12, 1, 0x41]))  # a table of normalisation
+
+
 def test_query(spark, both):
     rows = {r.doc_id: r for r in registry.op7_sentencepiece(spark, "/root/testdata/sf0.001").collect()}
     for d in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect():

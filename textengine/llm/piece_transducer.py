@@ -1,21 +1,23 @@
 """SentencePiece encoding and decoding by a weighted finite-state transducer.
 
-The model file is compiled into a transducer with one state for each piece: the piece read last. Its
-arcs read the characters of a piece and write the piece's id; a character without a piece is read by
-arcs that write its UTF-8 bytes' pieces instead. An arc from piece a to piece b weighs 0 where merging
-leaves a, b apart, and infinity (no path) where merges by score would have joined or cut them
-differently: a sequence of pieces is the one that the model's merges give if and only if every two
+The model file is compiled into one transducer, three composed: the normaliser (a space at the start of a
+text that is not empty, and every space read as U+2581), the pieces with one state for each, the piece
+read last, and the byte fallback, arcs that read a character without a piece and write its UTF-8
+bytes' pieces. Every arc has what it reads and the ids it writes (``writes``). An arc from piece a to piece b weighs 0
+where merging leaves a, b apart, and infinity (no path) where merges by score would have joined or cut
+them differently: a sequence of pieces is the one that the model's merges give if and only if every two
 neighbours in it are. So composed with a text, in the tropical semiring, exactly the model's
 segmentation has a finite weight, and the shortest path is found in one pass over the text: a position
-keeps its best last piece. Models whose pieces have probabilities (unigram) weigh an arc by -log p
-instead and take the same pass.
+keeps its best last piece. Models of another kind than BPE, and those with a table of normalisation or
+that squeeze spaces, are refused.
 
-The normaliser is part of it: a space in front (unless the text is empty), spaces as U+2581. No piece
-has U+2581 after another character, so a path may be cut before each run of them, and the path of each
-stretch is kept in a table of bounded size.
+No piece has U+2581 after another character, so a path may be cut before each run of them, and the ids
+of each stretch are kept in a table of bounded size.
 
 Defined results: null texts are empty and have no ids; U+2581 itself reads as a space, as the library
-has it; decoding undoes the normaliser and gives U+FFFD for each byte that is no UTF-8.
+has it; decoding undoes the normaliser and gives U+FFFD for each byte that is no UTF-8; repeated rows
+each get a row; an empty table gives an empty table; only the columns for ids and texts are read, so
+names of others don't matter.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 #: Piece types of the model format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-BPE, UNIGRAM = 2, 1
+BPE, UNIGRAM = 2, 1  # a model that names no kind is of the latter
 KEPT, KEPT_CHARS = 1 << 18, 48
 INF = float("inf")
 #: How bytes that are no UTF-8 are decoded: as one U+FFFD each.
@@ -75,7 +77,7 @@ class Transducer:
         self.pieces: list[str] = []
         self.kinds: list[int] = []
         scores: list[float] = []
-        self.model, self.prefix, charsmap, self.squeeze = UNIGRAM, True, b"", True
+        kind, self.prefix, charsmap, squeeze = UNIGRAM, True, b"", True
         for f, value in _fields(model):
             if f == 1:
                 one = dict(_fields(value))
@@ -83,13 +85,17 @@ class Transducer:
                 scores.append(struct.unpack("<f", one[2])[0] if 2 in one else 0.0)
                 self.kinds.append(one.get(3, NORMAL))
             elif f == 2:
-                self.model = dict(_fields(value)).get(3, UNIGRAM)
+                kind = dict(_fields(value)).get(3, UNIGRAM)
             elif f == 3:
                 spec = dict(_fields(value))
-                charsmap, self.prefix, self.squeeze = spec.get(2, b""), bool(spec.get(3, 1)), bool(spec.get(4, 1))
-        if charsmap or self.squeeze:
+                charsmap, self.prefix, squeeze = spec.get(2, b""), bool(spec.get(3, 1)), bool(spec.get(4, 1))
+        if kind != BPE:
+            raise ValueError("only BPE models are compiled")
+        if charsmap or squeeze:
             raise ValueError("only models with the identity normaliser that keep white space are compiled")
         self.scores = scores
+        #: The normaliser's arcs: a character read and what the others read instead; its start writes a space.
+        self.normaliser = [(" ", SPACE)]
         self.ids = {p: i for i, (p, k) in enumerate(zip(self.pieces, self.kinds, strict=True)) if k in (NORMAL, USER, UNUSED)}
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError("a piece has a space after another character")
@@ -98,6 +104,8 @@ class Transducer:
             if k == BYTE:
                 self.bytes[int(p[3:5], 16)] = i
         self.unknown = self.kinds.index(UNKNOWN) if UNKNOWN in self.kinds else 0
+        #: What the arc of a piece writes; those of characters without a piece are added as they are met.
+        self.writes: dict[str, tuple[int, ...]] = {p: (i,) for p, i in self.ids.items()}
         # Letters never share a piece with other characters here, so a path may be cut between them too.
         if any(x.isalpha() != y.isalpha() and x != SPACE for p in self.ids for x, y in zip(p, p[1:], strict=False)):
             self.stretches = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
@@ -162,10 +170,14 @@ class Transducer:
             else:
                 j += 1
 
+    def written(self, piece: str) -> tuple[int, ...]:
+        """The ids that the arc of a piece or character writes: its own, or those of its bytes, or the unknown one."""
+        got = self.writes.get(piece)
+        if got is None:
+            got = self.writes[piece] = tuple(self.bytes[b] for b in piece.encode()) if min(self.bytes) >= 0 else (self.unknown,)
+        return got
+
     def weight(self, last: str | None, piece: str) -> float:
-        if self.model == UNIGRAM:
-            i = self.ids.get(piece)
-            return -self.scores[i] if i is not None else 10.0 - min(self.scores)
         if last is None:
             return 0.0 if self.history(piece)[3] else INF
         key = (last, piece)
@@ -181,7 +193,6 @@ class Transducer:
         n = len(stretch)
         cost, last = [0.0] + [INF] * n, [None] * (n + 1)
         weight, done = self.weight, 0
-        unigram = self.model == UNIGRAM
 
         def relax(end: int, piece: str) -> None:
             start = end - len(piece)
@@ -195,7 +206,7 @@ class Transducer:
                 done += 1
                 if last[done] is None and stretch[done - 1] not in self.ids:
                     relax(done, stretch[done - 1])
-            if unigram or cost[at + 1] == INF:  # without negative weights nothing is shorter than 0
+            if cost[at + 1] == INF:  # without negative weights nothing is shorter than 0
                 relax(at + 1, piece)
         while done < n:
             done += 1
@@ -207,20 +218,8 @@ class Transducer:
             at -= len(last[at])
         return out[::-1]
 
-    def _ids(self, stretch: str) -> list[int]:
-        out: list[int] = []
-        for piece in self.path(stretch):
-            i = self.ids.get(piece)
-            if i is not None:
-                out.append(i)
-            elif min(self.bytes) >= 0:
-                out.extend(self.bytes[b] for b in piece.encode())
-            else:
-                out.append(self.unknown)
-        return out
-
     def _stretch(self, stretch: str) -> list[int]:
-        got = self._ids(stretch)
+        got = [i for piece in self.path(stretch) for i in self.written(piece)]
         if len(stretch) <= KEPT_CHARS:
             if len(self.kept) >= KEPT:
                 self.kept.clear()
@@ -230,7 +229,9 @@ class Transducer:
     def encode(self, text: str) -> list[int]:
         if not text:
             return []
-        text = (SPACE if self.prefix else "") + text.replace(" ", SPACE)
+        for read, written in self.normaliser:
+            text = text.replace(read, written)
+        text = (SPACE if self.prefix else "") + text
         out: list[int] = []
         kept = self.kept
         for stretch in self.stretches(text):
