@@ -3,12 +3,15 @@
 A text's terms are its words, lower-cased (A-Z), and the first four and five bytes of each, hashed to
 2^BITS places; each counts once. The machine gives a term a weight and each pair of terms the product of
 their factors, so that it can learn that two terms together say more than their sum. It is trained here,
-with Adagrad, on at most MAX_TRAIN labelled rows (those of the smallest hashes of their ids), a bounded
-sample whatever the input, and scores every whole text. The model is 2^BITS * (K + 1) numbers, a bounded
-broadcast.
-
-Defined results: null and empty texts have no terms and get the bias's score; without both labels in the
-training rows every score is the share of toxic ones (0.0 without any); null labels don't count.
+with Adagrad, on at most MAX_TRAIN labelled rows of at most MAX_CHARS characters together (those of the
+smallest hashes of their ids, ties by id, text and label), a bounded sample whatever the input, and
+scores every whole text. The model is 2^BITS * (K + 1) numbers, a bounded broadcast.
+
+Defined results: null and empty texts, and texts without a term of the training, get the bias's score;
+without both labels in the training rows every score is the share of toxic ones (nearly 0 without any);
+null labels don't count; repeated rows are trained on and scored as often as they occur, and equal texts
+have equal scores; null ids are ids like others; an empty table gives an empty table. Other columns don't
+matter, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from pyspark.sql import functions as F
 
 from textengine.llm.wordhash import slices
 
-BITS, K, MAX_TRAIN, EPOCHS, BATCH, RATE, DECAY, SEED = 18, 4, 20_000, 12, 64, 0.1, 1e-4, 7
+BITS, K, MAX_TRAIN, MAX_CHARS, EPOCHS, BATCH, RATE, DECAY, SEED = 18, 4, 20_000, 100_000_000, 12, 64, 0.1, 1e-4, 7
 POWER = 0.5  # a text of n terms gives each the value n ** -POWER
 LEAST = 8  # a term that fewer training texts have says nothing
 PREFIXES = (0, 4, 5)
@@ -137,12 +140,28 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), got], ["label", "places"])
 
 
-def fit(labelled: DataFrame, id_col: str, text_col: str, label_col: str, max_train: int = MAX_TRAIN) -> Machine:
-    """Trains on at most max_train rows of labelled, which has ids, texts and labels 0 or 1."""
-    rows = labelled.where(F.col(label_col).isNotNull()).select(F.xxhash64(id_col).alias("h"), F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("label"), F.col(text_col).alias("text"))
-    narrow = rows.select("h", "i")
-    edge = narrow.orderBy("h").limit(max_train).agg(F.max("h").alias("h")).first().h
-    chosen = rows.where(F.col("h") <= F.lit(edge if edge is not None else 0)).select("label", "text")
+def training_rows(labelled: DataFrame, id_col: str, text_col: str, label_col: str, max_train: int = MAX_TRAIN, max_chars: int = MAX_CHARS) -> DataFrame:
+    """(label, text): the first rows by hash of the id, then id, text and label, within both bounds; one row at least."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    order = F.struct(F.xxhash64(id_col).alias("h"), F.col(id_col).alias("i"), F.xxhash64(text).alias("t"), F.col(label_col).cast("int").alias("label"))
+    rows = labelled.where(F.col(label_col).isNotNull()).select(order.alias("key"), F.length(text).alias("chars"), text.alias("text"))
+    first = rows.select("key", "chars").orderBy("key").limit(max_train).collect()  # max_train narrow rows at most
+    taken = total = 0
+    while taken < len(first) and (taken == 0 or total + first[taken].chars <= max_chars):
+        total += first[taken].chars
+        taken += 1
+    if not taken:
+        return rows.limit(0).select(F.col("key.label").alias("label"), "text")
+    last = first[taken - 1].key
+    edge = F.struct(F.lit(last.h).alias("h"), F.lit(last.i).cast(labelled.schema[id_col].dataType).alias("i"), F.lit(last.t).alias("t"), F.lit(last.label).alias("label"))
+    equal = sum(r.key == last for r in first[:taken])  # rows equal to the last one are the same row
+    chosen = rows.where(F.col("key") < edge).unionByName(rows.where(F.col("key") == edge).limit(equal))
+    return chosen.select(F.col("key.label").alias("label"), "text")
+
+
+def fit(labelled: DataFrame, id_col: str, text_col: str, label_col: str, max_train: int = MAX_TRAIN, max_chars: int = MAX_CHARS) -> Machine:
+    """Trains on the bounded sample of labelled, which has ids, texts and labels 0 or 1."""
+    chosen = training_rows(labelled, id_col, text_col, label_col, max_train, max_chars)
     got = chosen.mapInArrow(_places, "label int, places array<int>").toArrow()
     labels = got.column("label").to_numpy().astype(float)
     texts = [x.values.to_numpy() for c in got.column("places").chunks for x in c]
