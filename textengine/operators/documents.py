@@ -57,20 +57,28 @@ def removal_log(labelled: DataFrame) -> DataFrame:
 
 def wiki_lines(docs: DataFrame, profile: WikiProfile = WIKIPEDIA) -> DataFrame:
     """lines with cleaned (null where the line goes) and reason."""
+    return wiki_cleaned(lines_of(docs), profile)
 
+
+def wiki_cleaned(lines: DataFrame, profile: WikiProfile = WIKIPEDIA) -> DataFrame:
     def both(line: Column) -> Column:
         cleaned = R.wiki_line(line, lambda x: T.wiki_removed(x, profile), profile)
         return R.once(cleaned, lambda c: F.struct(c.alias("cleaned"), T.wiki_reason(line, c, profile).alias("reason")))
 
-    return lines_of(docs).select("*", F.inline(F.array(both(F.col("line")))))  # computed once, whatever reads it
+    return lines.select("*", F.inline(F.array(both(F.col("line")))))  # computed once, whatever reads it
 
 
-def wiki_output(lines: DataFrame) -> DataFrame:
-    """The lines the wiki cleaner writes: cleaned ones, and one empty line for each run of blank lines."""
-    blank = F.col("reason") == "empty"
-    before = F.lag(blank, 1, False).over(Window.partitionBy("doc_id").orderBy("line_no"))
-    marked = lines.withColumn("first_blank", blank & ~before)
-    return marked.where("first_blank OR reason = 'keep'").select("doc_id", "line_no", F.when(F.col("first_blank"), "").otherwise(F.col("cleaned")).alias("output"))
+def wiki_output(lines: DataFrame, profile: WikiProfile = WIKIPEDIA) -> DataFrame:
+    """Of (doc_id, line_no, line) what the wiki cleaner writes: cleaned lines, and one empty line for each run of blank lines.
+
+    A blank line is a run's first if the line before it is not blank: a join of the blank lines by number,
+    so that a file of any length is many tasks' work.
+    """
+    blank = lines.where(R.strip(F.col("line")) == "").select("doc_id", "line_no")
+    after = blank.select(F.col("doc_id").alias("d"), (F.col("line_no") + 1).alias("l"))
+    first = blank.join(after, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("line_no") == F.col("l")), "left_anti")
+    kept = wiki_cleaned(lines, profile).where("reason = 'keep'").select("doc_id", "line_no", F.col("cleaned").alias("output"))
+    return kept.unionByName(first.withColumn("output", F.lit("")))
 
 
 def wiki_reasons(lines: DataFrame) -> DataFrame:

@@ -125,7 +125,7 @@ count(*) FILTER ({S.wiki('line', 'inline_brackets')} AND NOT {S.wiki('cleaned',
 count(*) FILTER ({S.wiki('line', 'inline_phonetic')} AND NOT {S.wiki('cleaned', 'inline_phonetic')}) AS phonetic FROM wiki_lines WHERE reason = 'keep'""",
 )
 add(
-    "wiki_blank_collapse", "noisy", lambda d: D.wiki_output(D.wiki_lines(d)),
+    "wiki_blank_collapse", "noisy", lambda d: D.wiki_output(D.lines_of(d)),
     f"""{S.wiki_cte()}, m AS (SELECT *, reason = 'empty' AND NOT coalesce(lag(reason = 'empty') OVER (PARTITION BY doc_id ORDER BY line_no), false) AS fb FROM wiki_lines)
 SELECT doc_id, line_no, CASE WHEN fb THEN '' ELSE cleaned END AS output FROM m WHERE fb OR reason = 'keep'""",
 )
