@@ -16,7 +16,9 @@ is entered at its start, or where the match before ended (\G), and quantifiers t
 back are possessive. Both leave the matches as they are.
 
 Defined results: null text counts as empty and has no spans; repeated rows each get a row; without any
-candidate beyond the base nothing is trained away: the base spans are the result.
+candidate beyond the base nothing is trained away: the base spans are the result. An empty table gives an
+empty table; other columns don't matter, whatever their names. A text is whole in a task; comparing its
+looser candidates with its base spans takes a step for each pair of them.
 """
 
 from __future__ import annotations
@@ -52,13 +54,17 @@ CUES = {
 }
 ANTI_CUES = r"(?i)(?:version|release|isbn|issn|doi|order|invoice|ticket|serial|model|page|section|chapter|rfc|token|commit|hash)\W{0,3}$"
 DOMAINS = r"(?i)\.(?:com|org|net|edu|gov|info|biz|io|co|de|fr|es|uk|us|eu|ch|at|it|nl|be|ca|au|in|br|mx|jp)$"
-LEFT, RIGHT, FEATURE_PLACES, EM_STEPS, THRESHOLD = 40, 12, 4096, 30, 0.95
+LEFT, RIGHT, FEATURE_PLACES, EM_STEPS, THRESHOLD, BLOCK = 40, 12, 4096, 30, 0.95, 128
 
 
 def matches(text: Column, pattern: str) -> Column:
-    """array<struct<start, text>> of the leftmost non-overlapping matches; start in code points from 0."""
+    """array<struct<start, text>> of the leftmost non-overlapping matches; start in code points from 0.
 
-    def positions(both: Column) -> Column:
+    Starts are running sums, made in blocks so that a text of n matches takes n * BLOCK + (n / BLOCK)^2 steps.
+    """
+
+    def block(pairs: Column, i: Column) -> Column:
+        """Of BLOCK gaps and matches: their characters, and the matches with their starts in the block."""
         start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:long,text:string>>").alias("out"))
 
         def step(s: Column, x: Column) -> Column:
@@ -66,8 +72,19 @@ def matches(text: Column, pattern: str) -> Column:
             one = F.struct(begin.alias("start"), x["found"].alias("text"))
             return F.struct((begin + F.length(x["found"])).alias("at"), F.concat(s["out"], F.array(one)).alias("out"))
 
-        pairs = F.zip_with(F.slice(both["gaps"], 1, F.greatest(F.size(both["found"]), F.lit(0))), both["found"], lambda g, f: F.struct(g.alias("gap"), f.alias("found")))
-        return F.aggregate(pairs, start, step, lambda s: s["out"])
+        return F.aggregate(F.slice(pairs, i * BLOCK + 1, F.lit(BLOCK)), start, step)
+
+    def placed(blocks: Column) -> Column:
+        def shifted(b: Column, i: Column) -> Column:
+            before = F.aggregate(F.slice(blocks, F.lit(1), i), F.lit(0).cast("long"), lambda s, x: s + x["at"])
+            return let(before, lambda n: F.transform(b["out"], lambda m: F.struct((m["start"] + n).alias("start"), m["text"].alias("text"))))
+
+        return F.flatten(F.transform(blocks, shifted))
+
+    def positions(both: Column) -> Column:
+        pairs = F.zip_with(F.slice(both["gaps"], 1, F.size(both["found"])), both["found"], lambda g, f: F.struct(g.alias("gap"), f.alias("found")))
+        numbers = F.sequence(F.lit(0), F.floor((F.size(both["found"]) - 1) / BLOCK).cast("int"))
+        return let(pairs, lambda p: let(F.transform(numbers, lambda i: block(p, i)), placed))
 
     found = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("gaps"))
     return let(found, lambda b: F.when(F.size(b["found"]) > 0, positions(b)).otherwise(F.array().cast("array<struct<start:long,text:string>>")))
@@ -164,12 +181,12 @@ def _features(kind: Column, text: Column, left: Column, right: Column) -> Column
     return F.array_distinct(F.transform(raw, lambda f: F.pmod(F.xxhash64(kind, f), F.lit(FEATURE_PLACES)).cast("int")))
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """A row for each row of docs: id, base (array<struct<kind_no, start, end>>) and added (likewise, with p), in order."""
+def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(row_no, id, spans) for each row of docs, and (row_no, kind_no, start, end, base, v: votes, f: places) for each candidate."""
     text = F.coalesce(F.col("__te_text"), F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col(id_col).alias("id"), F.col(text_col).alias("__te_text"))
 
-    def candidates(found: Column, kind: str, base: bool) -> Column:
+    def spans_of(found: Column, kind: str, base: bool) -> Column:
         return F.transform(
             found,
             lambda m: F.struct(
@@ -186,15 +203,19 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     # Most texts have nothing of the kind: one scan each for a digit or an @ settles those.
     loose_needs = {"email": text.rlike(r"[\[(]at[\])]"), "ip": text.contains(":"), "card": text.rlike("[0-9]"), "phone": text.rlike(r"\(|00")}
     none = F.array().cast("array<struct<start:long,text:string>>")
-    arrays = [candidates(base_spans(text, k), k, True) for k in KINDS]
-    arrays += [candidates(F.when(loose_needs[k], matches(text, p)).otherwise(none), k, False) for k, p in LOOSE]
+    arrays = [spans_of(base_spans(text, k), k, True) for k in KINDS]
+    arrays += [spans_of(F.when(loose_needs[k], matches(text, p)).otherwise(none), k, False) for k, p in LOOSE]
     found = cut(rows.select("row_no", "id", F.concat(*arrays).alias("spans")), "spans")
     base = F.filter("spans", lambda s: s["base"])
     # A looser candidate that touches a base span is that span again, or a part of it.
     fresh = F.filter("spans", lambda s: ~s["base"] & ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     spans = found.select("row_no", F.explode(F.concat(base, fresh)).alias("s")).select("row_no", "s.*").withColumn("kind", F.element_at(F.array(*map(F.lit, KINDS)), F.col("kind_no") + 1))
     args = [F.col(c) for c in ("kind", "text", "left", "right")]
-    voted = cut(spans.select("row_no", "kind_no", "start", "end", "base", _votes(*args, F.col("base")).alias("v"), _features(*args).alias("f")), "votes")
+    return found, cut(spans.select("row_no", "kind_no", "start", "end", "base", _votes(*args, F.col("base")).alias("v"), _features(*args).alias("f")), "votes")
+
+
+def classifier(voted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(k0, prior, ...) by kind and (k1, p1, w) by kind and place: log odds of the naive Bayes trained on the labelers' posteriors."""
     patterns = voted.groupBy("kind_no", "v").agg(F.count(F.lit(1)).alias("n"))
     by_kind = patterns.groupBy("kind_no").agg(F.sort_array(F.collect_list(F.struct(F.col("v"), F.col("n").cast("double").alias("n")))).alias("p"))
     posts = by_kind.select("kind_no", "p", _em(F.col("p")).alias("q")).select("kind_no", F.explode(F.arrays_zip("p", "q")).alias("x")).select(F.col("kind_no").alias("k"), F.col("x.p.v").alias("pv"), F.col("x.q").alias("q"))
@@ -207,7 +228,14 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     places = by_place.join(F.broadcast(prior), F.col("kind_no") == F.col("k0")).select(
         F.col("kind_no").alias("k1"), F.col("place").alias("p1"), F.log((F.col("fy") + 0.5) / (F.col("yes") + 1) / ((F.col("fn") + 0.5) / (F.col("no") + 1))).alias("w")
     )
-    places = F.broadcast(cut(places, "features"))
+    return prior, cut(places, "features")
+
+
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """A row for each row of docs: id, base (array<struct<kind_no, start, end>>) and added (likewise, with p), in order."""
+    found, voted = candidates(docs, id_col, text_col)
+    prior, places = classifier(voted)
+    places = F.broadcast(places)
     extra = voted.where("NOT base")
     scored = (
         extra.select("row_no", "kind_no", "start", "end", F.explode("f").alias("place"))
@@ -219,6 +247,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
         .where(F.col("p") >= threshold)
     )
     added = scored.groupBy(F.col("row_no").alias("r")).agg(F.sort_array(F.collect_list(F.struct("kind_no", "start", "end", "p"))).alias("added"))
+    base = F.filter("spans", lambda s: s["base"])
     short = F.transform(F.sort_array(F.transform(base, lambda s: F.struct(s["kind_no"].alias("kind_no"), s["start"].alias("start"), s["end"].alias("end")))), lambda s: s)
     out = found.select("row_no", "id", short.alias("base")).join(added, F.col("row_no") == F.col("r"), "left")
     return out.select(F.col("id").alias(id_col), "base", F.coalesce("added", F.array().cast("array<struct<kind_no:int,start:long,end:long,p:double>>")).alias("added"))
