@@ -1,9 +1,13 @@
+import math
 import random
 import re
+from collections import Counter, defaultdict
 
+from compare import compare
 from pyspark.sql import functions as F
 
 from textengine.llm import pii as P
+from textengine.llm import registry
 
 BASE = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
@@ -40,7 +44,7 @@ def test_base_matches_brute_force(spark):
     parts = ["a", "b.", "@", "x@y.zz", "1", "22", ".", "255", "256", "-", " ", "+", "(", ")", "4216797744748693", "4111 1111 1111 1111", "é", "😀", "\n", "_", "%", "+1 (203) 555-8282", "1.2.3.4"]
     rows = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(1500)]
     docs = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
-    check(spark, rows + docs + [None, "", "1" * 30000, "a" * 30000 + "@", "1 " * 20000, "a@" * 5000, "." * 9000, "+1" * 9000])
+    check(spark, rows + docs + [None, "", "1" * 30000, "a" * 30000 + "@", "1 " * 20000, "a@" * 5000, "." * 9000, "+1" * 9000, "1.2.3.4 x@y.zz, " * 1500])
 
 
 def test_ip_parts_of_zeros_match_brute_force(spark):
@@ -70,3 +74,69 @@ def test_edges(spark):
     assert P.find(empty).count() == 0
     same = spark.createDataFrame([(1, "a@b.cc"), (1, "a@b.cc"), (None, None)], "doc_id long, text string")
     assert sorted(len(r.base) for r in P.find(same).collect()) == [0, 1, 1]
+
+
+def brute_em(patterns):
+    """Dawid-Skene: patterns {votes: n} -> {votes: posterior}."""
+    pi, yes, no = 0.5, [[0.1, 0.3, 0.6] for _ in range(4)], [[0.6, 0.3, 0.1] for _ in range(4)]
+
+    def posterior(v):
+        a, b = pi, 1 - pi
+        for j, x in enumerate(v):
+            a, b = a * yes[j][x], b * no[j][x]
+        return a / (a + b)
+
+    for _ in range(P.EM_STEPS):
+        q = {v: posterior(v) for v in patterns}
+        up, down = sum(n * q[v] for v, n in patterns.items()), sum(n * (1 - q[v]) for v, n in patterns.items())
+        pi = (up + 1) / (up + down + 2)
+        yes = [[(sum(n * q[v] for v, n in patterns.items() if v[j] == x) + 1 + (x == 2)) / (up + 4) for x in range(3)] for j in range(4)]
+        no = [[(sum(n * (1 - q[v]) for v, n in patterns.items() if v[j] == x) + 1 + (x == 0)) / (down + 4) for x in range(3)] for j in range(4)]
+    return {v: posterior(v) for v in patterns}
+
+
+def test_em_matches_brute_force(spark):
+    rng = random.Random(3)
+    for _ in range(3):
+        patterns = {tuple(rng.randint(0, 2) for _ in range(4)): rng.randint(1, 500) for _ in range(30)}
+        order = sorted(patterns)
+        df = spark.createDataFrame([([(list(v), float(patterns[v])) for v in order],)], "p array<struct<v:array<int>,n:double>>")
+        got = df.select(P._em(F.col("p")).alias("q")).first().q
+        want = brute_em(patterns)
+        assert all(abs(g - want[v]) < 1e-9 for g, v in zip(got, order, strict=True))
+
+
+def test_classifier_and_scores_match_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    extra = [(10_000 + i, t) for i, t in enumerate([f"mail ann{i} [at] host{i}.org or (203) 555-{1000 + i} now, card 4{i:014d}" for i in range(80)])]
+    docs = docs.unionByName(spark.createDataFrame(extra, docs.schema))
+    found, voted = P.candidates(docs)
+    rows = [r.asDict() for r in voted.collect()]
+    by_kind = defaultdict(Counter)
+    for r in rows:
+        by_kind[r["kind_no"]][tuple(r["v"])] += 1
+    posts = {k: brute_em(p) for k, p in by_kind.items()}
+    yes, no, fy, fn = Counter(), Counter(), Counter(), Counter()
+    for r in rows:
+        k, q = r["kind_no"], posts[r["kind_no"]][tuple(r["v"])]
+        yes[k] += q
+        no[k] += 1 - q
+        for f in r["f"]:
+            fy[k, f] += q
+            fn[k, f] += 1 - q
+    ids, want = {r.row_no: r.id for r in found.collect()}, defaultdict(dict)
+    for r in rows:
+        k = r["kind_no"]
+        z = math.log((yes[k] + 1) / (no[k] + 1)) + sum(math.log((fy[k, f] + 0.5) / (yes[k] + 1) / ((fn[k, f] + 0.5) / (no[k] + 1))) for f in r["f"])
+        p = 1 / (1 + math.exp(-z))
+        assert abs(p - P.THRESHOLD) > 1e-6
+        if not r["base"] and p >= P.THRESHOLD:
+            want[ids[r["row_no"]]][k, r["start"], r["end"]] = p
+    assert sum(map(len, want.values())) > 50
+    for r in P.find(docs).collect():
+        got = {(a.kind_no, a.start, a.end): a.p for a in r.added}
+        assert got.keys() == want[r.doc_id].keys() and all(abs(got[x] - p) < 1e-9 for x, p in want[r.doc_id].items())
+
+
+def test_base_spans_match_sql(spark):
+    compare(spark, "/root/testdata/sf0.01", registry.queries()["pii_base_spans"], registry.oracle_sql()["pii_base_spans"])

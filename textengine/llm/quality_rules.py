@@ -1,19 +1,26 @@
 """Quality rules with risk-controlled thresholds, in DataFrame operations only.
 
 A base rule fails documents outright. Beyond it each rule of RULES scores a document with an integer
-per mille; a score above the rule's cutoff rejects. Cutoffs come from a labelled holdout: within each
-stratum and rule the cutoffs are tested from the most lenient to the strictest, and one is certified
-while the exact binomial tail P(Bin(n, risk) <= rejected good documents) stays within the chain's share
-of `delta`; the first failure ends the chain (fixed-sequence testing needs no correction inside a
-chain). `delta` is divided by the number of chains (Bonferroni over strata and rules), and `risk` by
-the number of rules, so that with probability 1 - delta no stratum loses more than `risk` of its good
-documents. A stratum with too few labels gets no cutoffs and keeps all that the base rule keeps.
+per mille. The rules' cutoffs go down together, from the most lenient to the strictest (LEVELS steps),
+so a level is one vector of cutoffs, one for each rule, and rejects a document with any score above
+its rule's. Which level holds comes from a labelled holdout: in each stratum the levels are tested in this
+order, and a level is certified while the exact binomial tail P(Bin(n, risk) <= rejected good documents)
+stays within the stratum's share of `delta`; the first failure ends the chain (fixed-sequence testing
+needs no correction inside a chain). `delta` is divided by the number of strata (Bonferroni). So with
+probability 1 - delta the cutoffs reject at most `risk` of the good documents of every stratum. That
+counts documents that the base rule keeps: what the base rule fails is fixed beforehand, and
+no cutoff changes it; ``certified`` gives how many good documents it fails beside it (base_rejected). A
+stratum with too few labels (ln(delta / strata) / ln(1 - risk) good ones at least) gets no cutoffs and
+keeps all that the base rule keeps.
 
 The `max_strata` strata with most labels have cutoffs of their own and the others share those of one
 pooled stratum, so the broadcast table of cutoffs has at most max_strata + 1 rows.
 
 Defined results: a null text has no words, and fails; null strata are in the pooled stratum; labels of
-unknown documents or null labels don't count; repeated labels count once for each row.
+unknown documents or null labels don't count; repeated labels count once for each row, and repeated
+documents are each judged; a score equal to its cutoff passes; an empty table gives an empty table, and
+without labels the base rule alone decides. Other columns pass by, whatever their names, but for names
+that begin with __te_.
 """
 
 from __future__ import annotations
@@ -25,19 +32,25 @@ from pyspark.sql import functions as F
 
 from textengine.llm.common import NOT_WS, WS, cut, let, words_of
 
-#: Rule: the SQL of its score, an integer per mille (null: does not apply).
+#: Rule: the SQL of its score, an integer per mille, and the score that the shares of STEPS are taken of.
 RULES = {
-    "symbols": "1000 * n_symbols div word_chars",
-    "dup_lines": "1000 * n_dup_lines div n_lines",
-    "repeats": "1000 * n_repeat_words div n_words",
-    "capitals": "1000 * n_capitals div word_chars",
-    "shouts": "1000 * n_shouts div n_words",
+    "symbols": ("1000 * n_symbols div word_chars", 500),
+    "dup_lines": ("1000 * n_dup_lines div n_lines", 1000),
+    "repeats": ("1000 * n_repeat_words div n_words", 1000),
+    "capitals": ("1000 * n_capitals div word_chars", 1000),
+    "shouts": ("1000 * n_shouts div n_words", 500),
 }
-#: Cutoffs per mille, the most lenient first.
-GRID = [900, 800, 700, 600, 500, 400, 300, 250, 200, 150, 100, 75, 50, 30]
+#: Of each level, per mille, the most lenient first.
+STEPS = [900, 800, 700, 600, 500, 400, 300, 250, 200, 150, 100, 75, 50, 30]
+LEVELS = len(STEPS)
 RISK, DELTA, MAX_STRATA, POOLED = 0.01, 0.05, 256, "*"
 
 
+def cutoffs(rule: str) -> list[int]:
+    """The rule's cutoffs, level by level."""
+    return [step * RULES[rule][1] // 1000 for step in STEPS]
+
+
 def repeated_words(words: Column) -> Column:
     """Words in 3-word windows that the array holds twice or more, each word once.
 
@@ -94,8 +107,10 @@ def base_metrics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return out.drop("__te_w", "__te_l").withColumn("base_failed", failed)
 
 
-def _scores() -> Column:
-    return F.array(*[F.coalesce(F.expr(f"if(n_words > 0, {sql}, 0)").cast("long"), F.lit(0)) for sql in RULES.values()])
+def levels_passed() -> Column:
+    """At how many levels a document passes: as cutoffs only go down, these are the first ones."""
+    fits = [f"if(n_words > 0, {sql}, 0) <= element_at(array({', '.join(map(str, cutoffs(rule)))}), l)" for rule, (sql, _) in RULES.items()]
+    return F.expr(f"size(filter(sequence(1, {LEVELS}), l -> {' AND '.join(fits)}))")
 
 
 def log_gamma(z: Column) -> Column:
@@ -115,55 +130,52 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when((n > 0) & (kd <= nd * p), F.exp(top) * added)
 
 
-def certified_cutoffs(scored: DataFrame, labels: DataFrame, id_col: str, risk: float, delta: float, max_strata: int) -> DataFrame:
-    """(stratum, cutoffs array by rule, null where none): from id, stratum, scores, base_failed and labels(id, quality)."""
+def certified(scored: DataFrame, labels: DataFrame, id_col: str, risk: float, delta: float, max_strata: int) -> DataFrame:
+    """(stratum, n_good, base_rejected, level: of how many levels the last is certified, 0 for none) from id, stratum, passed, base_failed."""
     good = (
-        scored.where(~F.col("base_failed"))
-        .join(labels.where("quality = 1").select(F.col(id_col).alias("__te_label")), F.col(id_col) == F.col("__te_label"))
-        .select(F.coalesce("stratum", F.lit(POOLED)).alias("stratum"), "scores")
+        labels.where("quality = 1")
+        .select(F.col(id_col).alias("__te_label"))
+        .join(scored, F.col(id_col) == F.col("__te_label"))
+        .groupBy(F.coalesce("stratum", F.lit(POOLED)).alias("stratum"), F.when(~F.col("base_failed"), F.col("passed")).alias("passed"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    counts = good.groupBy("stratum", "scores").agg(F.count(F.lit(1)).alias("n"))
-    counts = cut(counts, "good-scores")
-    own = counts.where(F.col("stratum") != POOLED).groupBy("stratum").agg(F.sum("n").alias("n_good")).orderBy(F.desc("n_good"), "stratum").limit(max_strata)
-    named = counts.join(F.broadcast(own.select(F.col("stratum").alias("own"))), F.col("stratum") == F.col("own"), "left").withColumn("stratum", F.coalesce("own", F.lit(POOLED)))
-    rejected = [F.sum(F.when(F.col("scores")[r] > c, F.col("n")).otherwise(0)).alias(f"k_{r}_{c}") for r in range(len(RULES)) for c in GRID]
-    sums = named.groupBy("stratum").agg(F.sum("n").alias("n_good"), *rejected)
-    sums = sums.crossJoin(sums.agg(F.count(F.lit(1)).alias("n_strata")))  # one row beside at most max_strata + 1
-    level = delta / (F.col("n_strata") * len(RULES))
-
-    def chain(r: int) -> Column:
-        tests = F.array(*[F.struct(F.lit(c).cast("long").alias("c"), F.coalesce(binomial_tail(F.col(f"k_{r}_{c}"), F.col("n_good"), risk / len(RULES)) <= level, F.lit(False)).alias("ok")) for c in GRID])
-        start = F.struct(F.lit(None).cast("long").alias("c"), F.lit(True).alias("on"))
-        return F.aggregate(tests, start, lambda s, t: F.struct(F.when(s["on"] & t["ok"], t["c"]).otherwise(s["c"]).alias("c"), (s["on"] & t["ok"]).alias("on")), lambda s: s["c"])
-
-    return sums.select("stratum", F.array(*[chain(r) for r in range(len(RULES))]).alias("cutoffs"))
+    good = cut(good, "good")  # a row for each stratum and level
+    own = good.where((F.col("stratum") != POOLED) & F.col("passed").isNotNull()).groupBy("stratum").agg(F.sum("n").alias("n_good")).orderBy(F.desc("n_good"), "stratum").limit(max_strata)
+    named = good.join(F.broadcast(own.select(F.col("stratum").alias("own"))), F.col("stratum") == F.col("own"), "left").withColumn("stratum", F.coalesce("own", F.lit(POOLED)))
+    rejected = F.array(*[F.coalesce(F.sum(F.when(F.col("passed") < level, F.col("n"))), F.lit(0)) for level in range(1, LEVELS + 1)])
+    of = lambda which: F.coalesce(F.sum(F.when(which, F.col("n"))), F.lit(0))
+    sums = named.groupBy("stratum").agg(of(F.col("passed").isNotNull()).alias("n_good"), of(F.col("passed").isNull()).alias("base_rejected"), rejected.alias("rejected"))
+    sums = sums.crossJoin(F.broadcast(sums.agg(F.count(F.lit(1)).alias("n_strata"))))  # one row beside at most max_strata + 1
+    holds = F.transform("rejected", lambda k: F.coalesce(binomial_tail(k, F.col("n_good"), risk) <= delta / F.col("n_strata"), F.lit(False)))
+    first_failure = F.array_position(holds, F.lit(False))
+    level = F.when(first_failure > 0, first_failure - 1).otherwise(F.lit(LEVELS))
+    return sums.select("stratum", "n_good", "base_rejected", level.cast("int").alias("level"))
+
+
+def _judged(scored: DataFrame, found: DataFrame) -> DataFrame:
+    """scored with level and kept, from its stratum, passed and base_failed."""
+    found = cut(found.select(F.col("stratum").alias("__te_of"), F.col("level").alias("__te_own")), "certified")
+    pooled = found.where(F.col("__te_of") == POOLED).agg(F.coalesce(F.max("__te_own"), F.lit(0)).alias("__te_pooled"))
+    rows = scored.join(F.broadcast(found), F.col("stratum") == F.col("__te_of"), "left").crossJoin(F.broadcast(pooled))
+    rows = rows.withColumn("level", F.coalesce("__te_own", "__te_pooled")).drop("__te_of", "__te_own", "__te_pooled")
+    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("passed") >= F.col("level")))
 
 
 def apply_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", risk: float = RISK, delta: float = DELTA, max_strata: int = MAX_STRATA) -> DataFrame:
-    """A row for each row of docs: id, counts, base_failed, stratum, scores, cutoffs of its stratum, kept."""
+    """A row for each row of docs: id, counts, base_failed, stratum, passed (levels), level (its stratum's certified one, 0 for none), kept."""
     narrow = docs.select(F.col(id_col).alias(id_col), F.col(stratum_col).cast("string").alias("stratum"), F.col(text_col).alias("__te_text"))
-    scored = cut(base_metrics(narrow, "__te_text").drop("__te_text").withColumn("scores", _scores()), "quality")
-    cutoffs = cut(certified_cutoffs(scored, labels, id_col, risk, delta, max_strata), "cutoffs").select(F.col("stratum").alias("of"), "cutoffs")
-    own = scored.join(F.broadcast(cutoffs), F.col("stratum") == F.col("of"), "left").drop("of")
-    pooled = cutoffs.where(F.col("of") == POOLED).select(F.col("cutoffs").alias("pooled"))
-    rows = own.crossJoin(F.broadcast(pooled.agg(F.first("pooled").alias("pooled")))).withColumn("cutoffs", F.coalesce("cutoffs", "pooled")).drop("pooled")
-    over = F.exists(F.arrays_zip("scores", "cutoffs"), lambda x: F.coalesce(x["scores"] > x["cutoffs"], F.lit(False)))
-    return rows.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(over, F.lit(False)))
+    scored = cut(base_metrics(narrow, "__te_text").drop("__te_text").withColumn("passed", levels_passed()), "quality")
+    return _judged(scored, certified(scored, labels, id_col, risk, delta, max_strata))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", risk: float = RISK, delta: float = DELTA, max_strata: int = MAX_STRATA) -> DataFrame:
     """The rows of docs that the rules keep, with all their columns.
 
-    The verdict is a function of the row, so the rules run once to certify the cutoffs and the kept rows
-    are read with the cutoffs broadcast; no text is shuffled.
+    Every text is scored once: the rows are written with their levels, the certification reads the narrow
+    columns of them, and the verdict is a filter when they are read again. No text is shuffled.
     """
-    narrow = docs.select(F.col(id_col).alias(id_col), F.col(stratum_col).cast("string").alias("stratum"), F.col(text_col).alias("__te_text"))
-    scored = cut(base_metrics(narrow, "__te_text").drop("__te_text").withColumn("scores", _scores()), "quality")
-    cutoffs = cut(certified_cutoffs(scored, labels, id_col, RISK, DELTA, MAX_STRATA), "cutoffs")
-    verdict = base_metrics(docs.select(F.struct("*").alias("__te_row"), F.col(text_col).alias("__te_text"), F.col(stratum_col).cast("string").alias("__te_stratum")), "__te_text").drop("__te_text")
-    verdict = verdict.where("NOT base_failed").withColumn("scores", _scores())
-    by_name = F.broadcast(cutoffs.select(F.col("stratum").alias("__te_of"), "cutoffs"))
-    pooled = F.broadcast(cutoffs.where(F.col("stratum") == POOLED).agg(F.first("cutoffs").alias("__te_pooled")))
-    rows = verdict.join(by_name, F.col("__te_stratum") == F.col("__te_of"), "left").crossJoin(pooled)
-    over = F.exists(F.arrays_zip("scores", F.coalesce("cutoffs", "__te_pooled").alias("cutoffs")), lambda x: F.coalesce(x["scores"] > x["cutoffs"], F.lit(False)))
-    return rows.where(~F.coalesce(over, F.lit(False))).select("__te_row.*")
+    rows = docs.select(F.struct("*").alias("__te_row"), F.col(text_col).alias("__te_text"), F.col(id_col).alias("__te_id"), F.col(stratum_col).cast("string").alias("stratum"))
+    scored = base_metrics(rows, "__te_text").withColumn("passed", levels_passed()).select("__te_row", "__te_id", "stratum", "passed", "base_failed")
+    scored = cut(scored, "scored")
+    named = labels.select(F.col(id_col).alias("__te_id"), "quality")
+    return _judged(scored, certified(scored.drop("__te_row"), named, "__te_id", risk, delta, max_strata)).where("kept").select("__te_row.*")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textengine.llm.common import table
-from textengine.llm.sql import OP3_SQL, OP6_SQL, OP9_SQL
+from textengine.llm.sql import OP6_SQL, OP9_SQL, PII_BASE_SQL, TARGETS_SQL, op3_sql
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,23 +33,24 @@ FROM d
 
 
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from textengine.llm.chat_format import format_conversations, read_back
+    from textengine.llm.chat_format import examples, format_conversations, read_back
 
     both = "</s>[INST] ok [/INST]"
     extra = spark.sql(f"SELECT -1L conv_id, * FROM VALUES (0L, 'user', '{both}'), (1L, 'assistant', '{both}') AS t(turn, role, text)")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    read = read_back(format_conversations(turns))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join("losses", "")
-    return read.select(
+    of_conversation = {"n_turns": F.size("turns").cast("long"), "turns_sha256": F.sha2(said, 256), "formatted_chars": F.length("formatted").cast("long")}
+    rows = examples(read_back(format_conversations(turns)).withColumns(of_conversation), keep=tuple(of_conversation), outer=True)
+    loss = F.when(F.col("turn_no").isNotNull(), F.struct("example_no", "loss"))
+    grouped = rows.groupBy("conv_id", *of_conversation).agg(F.sort_array(F.collect_list(loss)).alias("losses"), F.coalesce(F.sum("end"), F.lit(0)).alias("example_chars"))
+    text = F.array_join(F.transform("losses", lambda x: x["loss"]), "")
+    return grouped.select(
         "conv_id",
-        F.size("turns").cast("long").alias("n_turns"),
-        F.sha2(said, 256).alias("turns_sha256"),
-        F.length(loss).cast("long").alias("loss_chars"),
-        F.sha2(loss, 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"),
-        F.size("targets").cast("long").alias("n_examples"),
-        F.aggregate("targets", F.lit(0).cast("long"), lambda s, t: s + t["end"]).alias("example_chars"),
+        *of_conversation,
+        F.length(text).cast("long").alias("loss_chars"),
+        F.sha2(text, 256).alias("loss_sha256"),
+        F.size("losses").cast("long").alias("n_examples"),
+        "example_chars",
     )
 
 
@@ -78,7 +79,18 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textengine.llm.quality_rules import apply_rules
 
     rows = apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "stratum", F.array_join("cutoffs", ",", "-").alias("cutoffs"))
+    return rows.select("doc_id", *QUALITY_COLUMNS)
+
+
+def quality_rules_at_one_in_ten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rules at a risk of 0.1, for which small tables have labels enough."""
+    from textengine.llm.quality_rules import apply_rules
+
+    rows = apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), risk=0.1)
+    return rows.select("doc_id", *QUALITY_COLUMNS)
+
+
+QUALITY_COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "stratum", "passed", "level"]
 
 
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,6 +112,16 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *[count(i) for i in range(4)], F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(every).alias("spans"), F.size("added").cast("long").alias("n_added"))
 
 
+def pii_base_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op8_pii SQL can express."""
+    return op8_pii(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
+
+
+def source_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op5_source_mixing SQL can express."""
+    return op5_source_mixing(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"))
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textengine.llm.ngram_join import ngram_components
 
@@ -151,5 +173,5 @@ def oracle_sql() -> dict[str, str]:
     return SQL
 
 
-QUERIES = [op1_exact_dedup, op2_token_output, op3_quality_rules, op4_chat_format, op5_source_mixing, op6_substring_dedup, op7_sentencepiece, op8_pii, op9_ngram_join, op10_toxicity]
-SQL = {"op1_exact_dedup": OP1_SQL, "op3_quality_rules": OP3_SQL, "op4_chat_format": OP4_SQL, "op6_substring_dedup": OP6_SQL, "op9_ngram_join": OP9_SQL}
+QUERIES = [op1_exact_dedup, op2_token_output, op3_quality_rules, op4_chat_format, op5_source_mixing, op6_substring_dedup, op7_sentencepiece, op8_pii, op9_ngram_join, op10_toxicity, quality_rules_at_one_in_ten, pii_base_spans, source_targets]
+SQL = {"op1_exact_dedup": OP1_SQL, "op3_quality_rules": op3_sql(0.01), "quality_rules_at_one_in_ten": op3_sql(0.1), "op4_chat_format": OP4_SQL, "op6_substring_dedup": OP6_SQL, "op9_ngram_join": OP9_SQL, "pii_base_spans": PII_BASE_SQL, "source_targets": TARGETS_SQL}

@@ -45,25 +45,68 @@ scored AS (
     CASE WHEN n_words > 0 THEN [1000 * n_symbols // word_chars, 1000 * (n_lines - n_different) // n_lines, 1000 * n_repeat_words // n_words,
                                 1000 * n_capitals // word_chars, 1000 * n_shouts // n_words] ELSE [0, 0, 0, 0, 0] END AS scores
   FROM m),
-good AS (SELECT coalesce(lang, '*') AS stratum, scores FROM scored JOIN labels USING (doc_id) WHERE NOT base_failed AND quality = 1),
-own AS (SELECT stratum FROM good WHERE stratum <> '*' GROUP BY stratum ORDER BY count(*) DESC, stratum LIMIT 256),
-named AS (SELECT coalesce(own.stratum, '*') AS stratum, scores FROM good LEFT JOIN own USING (stratum)),
-grid AS (SELECT unnest([900, 800, 700, 600, 500, 400, 300, 250, 200, 150, 100, 75, 50, 30]) AS c, unnest(range(14)) AS nth),
+levelled AS (
+  SELECT *, len(list_filter([900, 800, 700, 600, 500, 400, 300, 250, 200, 150, 100, 75, 50, 30], lambda c:
+    scores[1] <= c * 500 // 1000 AND scores[2] <= c AND scores[3] <= c AND scores[4] <= c AND scores[5] <= c * 500 // 1000))::INT AS passed FROM scored),
+good AS (SELECT coalesce(lang, '*') AS stratum, passed, base_failed FROM levelled JOIN labels USING (doc_id) WHERE quality = 1),
+own AS (SELECT stratum FROM good WHERE stratum <> '*' AND NOT base_failed GROUP BY stratum ORDER BY count(*) DESC, stratum LIMIT 256),
+named AS (SELECT coalesce(own.stratum, '*') AS stratum, passed, base_failed FROM good LEFT JOIN own USING (stratum)),
 tests AS (
-  SELECT stratum, rule, c, nth, count(*) AS n, count(*) FILTER (scores[rule] > c) AS k, 0.01 / 5 AS p
-  FROM named, (SELECT unnest(range(1, 6)) AS rule), grid GROUP BY ALL),
+  SELECT stratum, nth, count(*) FILTER (NOT base_failed) AS n, count(*) FILTER (NOT base_failed AND passed < nth) AS k, $RISK AS p
+  FROM named, (SELECT unnest(range(1, 15)) AS nth) GROUP BY ALL),
 judged AS (
-  SELECT *, k <= n * p AND list_sum(list_transform(range(CASE WHEN k <= n * p THEN k + 1 ELSE 1 END), lambda i:
-      exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(p) + (n - i) * ln(1 - p)))) <= 0.05 / ((SELECT count(DISTINCT stratum) FROM named) * 5) AS ok
+  SELECT *, n > 0 AND k <= n * p AND list_sum(list_transform(range(CASE WHEN k <= n * p THEN k + 1 ELSE 1 END), lambda i:
+      exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(p) + (n - i) * ln(1 - p)))) <= 0.05 / (SELECT count(DISTINCT stratum) FROM named) AS ok
   FROM tests),
-chains AS (
-  SELECT stratum, rule, min(c) FILTER (nth < stop) AS cutoff
-  FROM (SELECT *, coalesce(min(nth) FILTER (NOT ok) OVER (PARTITION BY stratum, rule), 99) AS stop FROM judged) GROUP BY stratum, rule),
-cutoffs AS (SELECT stratum, list(cutoff ORDER BY rule) AS cs FROM chains GROUP BY stratum),
+levels AS (SELECT stratum, (coalesce(min(nth) FILTER (NOT ok), 15) - 1)::INT AS level FROM judged GROUP BY stratum),
 final AS (
-  SELECT scored.*, coalesce(a.cs, b.cs) AS cs FROM scored LEFT JOIN cutoffs a ON scored.lang = a.stratum LEFT JOIN cutoffs b ON b.stratum = '*')
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND NOT coalesce(list_bool_or(list_transform(range(1, 6), lambda r: coalesce(scores[r] > cs[r], false))), false) AS kept,
-  lang AS stratum, array_to_string(list_transform(cs, lambda c: coalesce(c::VARCHAR, '-')), ',') AS cutoffs
+  SELECT levelled.*, coalesce(a.level, b.level, 0) AS level FROM levelled LEFT JOIN levels a ON levelled.lang = a.stratum LEFT JOIN levels b ON b.stratum = '*')
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND passed >= level AS kept, lang AS stratum, passed, level
 FROM final
 """
+
+
+def op3_sql(risk: float) -> str:
+    return OP3_SQL.replace("$RISK", f"{risk}::DOUBLE")
+
+
+#: The base patterns as they are given, for an RE2 engine.
+PII_PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+_found = " UNION ALL ".join(f"SELECT doc_id, {i} AS k, '{kind}' AS kind, regexp_extract_all(t, '{p}') AS f, regexp_split_to_array(t, '{p}') AS g FROM d" for i, (kind, p) in enumerate(PII_PATTERNS.items()))
+PII_BASE_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({_found}),
+u AS (SELECT doc_id, k, kind, unnest(f) AS x, unnest(g[1:len(f)]) AS gap, unnest(range(len(f))) AS i FROM m),
+s AS (SELECT *, sum(length(gap) + length(x)) OVER (PARTITION BY doc_id, k ORDER BY i)::BIGINT AS e, regexp_replace(x, '[^0-9]', '', 'g') AS n FROM u),
+ok AS (
+  SELECT doc_id, k, e - length(x) AS b, kind || ':' || (e - length(x)) || ':' || e AS span FROM s
+  WHERE k = 0
+     OR k = 1 AND list_bool_and(list_transform(string_split(x, '.'), lambda p: length(ltrim(p, '0')) < 3 OR (length(ltrim(p, '0')) = 3 AND ltrim(p, '0') <= '255')))
+     OR k = 2 AND length(n) BETWEEN 16 AND 19 AND list_sum(list_transform(range(1, length(n) + 1), lambda i: CASE WHEN i % 2 = 1 THEN n[length(n) + 1 - i]::INT ELSE 2 * n[length(n) + 1 - i]::INT // 10 + 2 * n[length(n) + 1 - i]::INT % 10 END)) % 10 = 0
+     OR k = 3 AND length(n) BETWEEN 8 AND 15)
+SELECT doc_id, count(*) FILTER (k = 0) AS n_email, count(*) FILTER (k = 1) AS n_ip, count(*) FILTER (k = 2) AS n_card, count(*) FILTER (k = 3) AS n_phone,
+  sha256(coalesce(string_agg(span, ',' ORDER BY k, b), '')) AS base_sha256
+FROM d LEFT JOIN ok USING (doc_id) GROUP BY doc_id
+"""
+
+TARGETS_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM d GROUP BY source),
+-- Each step fills the sources that their weight gives more than twice their size; the rest of the words goes on to the others.
+steps AS (
+  SELECT 0 AS step, source, source_size, w, false AS filled FROM sources
+  UNION ALL
+  SELECT step + 1, source, source_size, w,
+    filled OR w * (1.5 * sum(source_size) OVER () - sum(CASE WHEN filled THEN 2 * source_size ELSE 0 END) OVER ()) / nullif(sum(CASE WHEN filled THEN 0 ELSE w END) OVER (), 0) > 2 * source_size
+  FROM steps WHERE step < (SELECT count(*) FROM sources)),
+last AS (SELECT *, (1.5 * sum(source_size) OVER () - sum(CASE WHEN filled THEN 2 * source_size ELSE 0 END) OVER ()) / nullif(sum(CASE WHEN filled THEN 0 ELSE w END) OVER (), 0) AS level
+         FROM steps WHERE step = (SELECT max(step) FROM steps))
+SELECT doc_id, size, source_size, round((CASE WHEN filled THEN 2.0 * source_size ELSE w * level END)::DOUBLE, 3) AS target
+FROM d JOIN last ON d.source IS NOT DISTINCT FROM last.source
+"""
