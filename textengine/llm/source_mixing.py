@@ -11,8 +11,9 @@ that rounding leaves over is carried from the cell of the largest size to the sm
 misses its target by about half of its smallest documents.
 
 Defined results: a null text has size 0, and a document of size 0 is never taken; null sources are one
-source, the last; which documents of a cell get the extra copy depends on a hash of the id only; an
-empty table gives an empty table.
+source, the last; which documents of a cell get the extra copy depends on a hash of the id only, and of rows
+with one id, which have one result between them, any; an empty table gives an empty table; a text of any
+length is counted whole; ``mixed`` keeps all columns, whatever their names but for those that begin with __te_.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ nothing that was finished.
 Defined results: null texts are empty; null ids go first, with repeated ids in order of their texts; an
 empty document has its end id only; an empty table gives no parts and no rows. Ids are those of the
 library with its own settings and add_special_tokens=False: an added token's content in a text, such as
-<|endoftext|>, is that token.
+<|endoftext|>, is that token. Only the columns for ids and texts are read, so names of others don't
+matter. A text of any length is one frame, encoded in one task.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 from textengine.llm.common import partitions, scratch
 
 INDEX, TABLE, TABLE_END = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
-LEVEL, PART_BYTES = 3, 64 << 20
+LEVEL = 3
 MANIFEST = "part int, path string, documents long, tokens long, bytes long"
 
 
@@ -262,7 +263,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col:
 
 
 def read_ids(spark: SparkSession, manifest: list) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32, ids_sum for every document, read from the part files."""
+    """doc_id, start, n_tokens, ids_crc32 for every document, read from the part files."""
     starts = np.concatenate([[0], np.cumsum([r.tokens for r in manifest], dtype=np.int64)]).tolist()
     files = spark.createDataFrame([(r.path, s) for r, s in zip(manifest, starts, strict=False)], "path string, start long")
 
