@@ -32,13 +32,6 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{parent}/{name}"
 
 
-def drop(spark: SparkSession, *paths: str) -> None:
-    """Deletes paths of scratch that nothing reads any more."""
-    for at in paths:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path.getParent(), True)
-
-
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     """df as a written table in the shared folder: computed once, safe from lost executors, without lineage."""
     at = scratch(df.sparkSession, name)
