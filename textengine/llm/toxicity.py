@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textengine.llm.common import cut
 from textengine.llm.wordhash import slices
 
 BITS, K, MAX_TRAIN, MAX_CHARS, EPOCHS, BATCH, RATE, DECAY, SEED = 18, 4, 20_000, 100_000_000, 12, 64, 0.1, 1e-4, 7
@@ -145,7 +146,8 @@ def training_rows(labelled: DataFrame, id_col: str, text_col: str, label_col: st
     text = F.coalesce(F.col(text_col), F.lit(""))
     order = F.struct(F.xxhash64(id_col).alias("h"), F.col(id_col).alias("i"), F.xxhash64(text).alias("t"), F.col(label_col).cast("int").alias("label"))
     rows = labelled.where(F.col(label_col).isNotNull()).select(order.alias("key"), F.length(text).alias("chars"), text.alias("text"))
-    first = rows.select("key", "chars").orderBy("key").limit(max_train).collect()  # max_train narrow rows at most
+    # Written first, so that tasks merge what each of them takes; the driver gets max_train narrow rows at most.
+    first = cut(rows.select("key", "chars").orderBy("key").limit(max_train), "first").orderBy("key").collect()
     taken = total = 0
     while taken < len(first) and (taken == 0 or total + first[taken].chars <= max_chars):
         total += first[taken].chars
