@@ -21,18 +21,20 @@ Candidates come in steps, so that groups of near copies don't make all their pai
    tried, growing blocks of them are (BLOCKS): what joins a component there needs no other partner of it.
 
 Before any set is fetched, pairs must pass the length bound, a bound by where in the order
-they first meet, and a bound by parity bits (about one for a shingle): the bits
-that differ are never more than the shingles that differ. All are exact, none drops a link.
+they first meet, and a bound by parity bits (a few hundred where they meet, about one for a shingle after
+that): the bits that differ are never more than the shingles that differ. All are exact, none drops a link.
 
 Defined results: null and empty texts have an empty set and are linked with nothing; fewer than N words
 are one shingle; rows with equal ids are nodes of their own; null ids are never the smallest, and a
-component of null ids only has null. Class and shingle hashes have 64 bits, so of n documents about
+component of null ids only has null; an empty table gives an empty table; only the columns for ids and texts
+are read, so names of others don't matter, and a text of any length is hashed whole. Class and shingle hashes have 64 bits, so of n documents about
 n^2 / 2^65 pairs are taken for each other by chance.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +47,7 @@ from textengine.llm.wordhash import mix, runs, slices
 
 N, PERCENT = 4, 85
 FRAGMENTS, KNOWN, FILTER_BITS = 4, 1 << 20, 1 << 24
-PARITY_WORDS = 4  # of 64 bits, at least
+PARITY_WORDS, NARROW = 4, 8  # of 64 bits: at least, and in rows of shared shingles
 SKETCH, ROTATIONS, BACK, AGREE = 16, 8, 4, 10  # hashes a sketch, sorted orders, partners in each, hashes that agree
 BLOCKS = [(0, 0), (1, 4), (0, 15)]  # of sixteen; the last one is all
 SEEN, SURVEYED = 3, 6_000_000
@@ -84,6 +86,12 @@ def parities(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def narrow_parities(shingles: np.ndarray) -> np.ndarray:
+    """The same by the remainder modulo 64 * NARROW, whatever the set's size: NARROW words."""
+    bits = np.bincount((shingles & np.uint64(64 * NARROW - 1)).astype(np.int64), minlength=64 * NARROW) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def sketch(shingles: np.ndarray) -> np.ndarray:
     """The smallest hash in each of SKETCH equal ranges (of an empty range: in the next), of ascending hashes."""
     edges = np.arange(SKETCH, dtype=np.uint64) << np.uint64(64 - SKETCH.bit_length() + 1)
@@ -148,7 +156,7 @@ def _survey(n: int, marked: bool = False):
 
 
 def _profiles(n: int, percent: int, known):
-    """Texts -> (class, n, parity, sketch, prefix)."""
+    """Texts -> (class, n, parity, narrow parity, sketch, prefix)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, ranks = known.value
@@ -163,11 +171,11 @@ def _profiles(n: int, percent: int, known):
                     at = np.minimum(np.searchsorted(hashes, s), len(hashes) - 1)
                     late = hashes[at] == s
                     prefix = np.concatenate([s[~late], s[late][np.argsort(ranks[at[late]], kind="stable")]]) if late.any() else s
-                rows.append((class_of(s), len(s), parities(s), sketch(s), prefix[:k].view(np.int64)))
+                rows.append((class_of(s), len(s), parities(s), narrow_parities(s), sketch(s), prefix[:k].view(np.int64)))
             if rows:
                 columns = list(zip(*rows, strict=True))
                 lists = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in c])]), pa.int32()), pa.array(np.concatenate(c))) for c in columns[2:]]
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), *lists], ["cls", "n", "parity", "sketch", "prefix"])
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), *lists], ["cls", "n", "parity", "narrow", "sketch", "prefix"])
 
     return run
 
@@ -240,9 +248,9 @@ class Join:
         rank = np.empty(len(order), np.int32)
         rank[np.lexsort((hashes, counts))] = np.arange(len(order), dtype=np.int32)
         late = self.spark.sparkContext.broadcast((hashes[order], rank[order]))
-        self.profiles = cut(self.docs.mapInArrow(_profiles(n, percent, late), "cls long, n long, parity array<long>, sketch array<long>, prefix array<long>"), "profiles")
+        self.profiles = cut(self.docs.mapInArrow(_profiles(n, percent, late), "cls long, n long, parity array<long>, narrow array<long>, sketch array<long>, prefix array<long>"), "profiles")
 
-        facts = self.profiles.groupBy("cls").agg(F.first("n").alias("n"), F.first("parity").alias("parity"))
+        facts = self.profiles.groupBy("cls").agg(F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("narrow").alias("narrow"))
         self.facts = cut(facts, "facts")
 
     @staticmethod
@@ -313,13 +321,19 @@ class Join:
         rooted = cut(self._rooted(shared, roots), "rooted")
         sizes = rooted.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("members"))
         largest = sizes.groupBy(F.col("shingle").alias("s")).agg(F.max(F.struct("members", "root"))["root"].alias("largest"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
-        mixed = cut(rooted.join(largest.drop("roots"), F.col("shingle") == F.col("s")).drop("s"), "mixed")
-        x = mixed.where("root != largest").select("shingle", F.col("cls").alias("c1"), F.col("n").alias("m1"), F.col("rest").alias("rest1"), F.col("root").alias("r1"))
-        y = mixed.where(F.pmod(F.xxhash64("cls"), F.lit(16)).between(*block)).select("shingle", F.col("cls").alias("c2"), F.col("n").alias("m2"), F.col("rest").alias("rest2"), F.col("root").alias("r2"), "largest")
+        mixed = rooted.join(largest.drop("roots"), F.col("shingle") == F.col("s")).drop("s")
+        words = [F.get("narrow", F.lit(i)).alias(f"b{i}") for i in range(NARROW)]
+        mixed = cut(mixed.join(self.facts.select(F.col("cls").alias("c"), *words), F.col("cls") == F.col("c")).drop("c"), "mixed")
+        told = {"cls": "c", "n": "m", "rest": "rest", "root": "r"} | {f"b{i}": f"b{i}_" for i in range(NARROW)}
+        side = lambda rows, k: rows.select("shingle", *[F.col(c).alias(f"{name}{k}") for c, name in told.items()], *(["largest"] if k == 2 else []))
+        x = side(mixed.where("root != largest"), 1)
+        y = side(mixed.where(F.pmod(F.xxhash64("cls"), F.lit(16)).between(*block)), 2)
         once = (F.col("r1") != F.col("r2")) & ((F.col("c1") < F.col("c2")) | (F.col("r2") == F.col("largest")))
         # At the first shingle in the order that two sets share, the overlap is at most what each has left.
         fit = (100 + self.percent) * F.least("rest1", "rest2") >= self.percent * (F.col("m1") + F.col("m2"))
-        return x.join(y, (x.shingle == y.shingle) & once & fit).select(F.least("c1", "c2").alias("u"), F.greatest("c1", "c2").alias("v"))
+        differ = reduce(lambda a, b: a + b, [F.bit_count(F.col(f"b{i}_1").bitwiseXOR(F.col(f"b{i}_2"))) for i in range(NARROW)])
+        alike = (100 + self.percent) * differ <= (100 - self.percent) * (F.col("m1") + F.col("m2"))
+        return x.join(y, (x.shingle == y.shingle) & once & fit & alike).select(F.least("c1", "c2").alias("u"), F.greatest("c1", "c2").alias("v"))
 
     def _join(self, roots: DataFrame, found: DataFrame) -> DataFrame:
         return cut(components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(found)), "roots")
@@ -334,7 +348,8 @@ def _rooted_members(join: Join) -> DataFrame:
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
     """A row for each row of docs: id, n_shingles, component_id (the smallest id reachable by links)."""
     rows = _rooted_members(Join(docs, id_col, text_col, n, percent))
-    least = rows.where("n > 0").groupBy(F.col("root").alias("r")).agg(F.min("doc").alias("least"))
+    # Written, so that the join with a large component's rows is one of two plain shuffles, which can be split.
+    least = cut(rows.where("n > 0").groupBy(F.col("root").alias("r")).agg(F.min("doc").alias("least")), "least")
     out = rows.join(least, (F.col("root") == F.col("r")) & (F.col("n") > 0), "left")
     return out.select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("component_id"))
 
@@ -346,7 +361,7 @@ def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n
     """
     rows = _rooted_members(Join(docs, id_col, text_col, n, percent, marked=True)).where("n > 0")
     key = F.struct(F.col("doc").isNull().alias("no_id"), "doc", "mark")
-    least = rows.groupBy(F.col("root").alias("r")).agg(F.min(key).alias("least"))
+    least = cut(rows.groupBy(F.col("root").alias("r")).agg(F.min(key).alias("least")), "least")  # as in ngram_components
     keyed = rows.join(least, F.col("root") == F.col("r")).groupBy("doc", "mark").agg(F.min(key == F.col("least")).alias("stays"), F.count(F.lit(1)).alias("copies"))
     told = cut(keyed.where("NOT stays OR copies > 1").select(F.col("doc").alias("__te_d"), F.col("mark").alias("__te_m"), "stays"), "told")
     held = docs.select("*", F.col(id_col).cast("long").alias("__te_doc"), mark_of(text_col).alias("__te_mark"))
