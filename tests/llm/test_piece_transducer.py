@@ -71,3 +71,6 @@ def test_edges(spark):
     out = T.decode(T.encode(df, PATH), PATH).collect()
     assert sorted((r.n_tokens, r.decoded) for r in out) == [(0, ""), (0, ""), (2, "x y"), (2, "x y")]
     assert T.decode(T.encode(df.limit(0), PATH), PATH).count() == 0
+    both = T.encode(df, PATH, keep_text=True, decoded=True)
+    assert both.columns == ["doc_id", "n_tokens", "ids", "text", "decoded"]
+    assert sorted(map(repr, both.drop("text").collect())) == sorted(map(repr, out))

@@ -37,7 +37,7 @@ SPACE = "▁"
 #: Piece types of the model format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE, UNIGRAM = 2, 1  # a model that names no kind is of the latter
-KEPT, KEPT_CHARS = 1 << 18, 48
+KEPT, KEPT_CHARS, HISTORIES, APART = 1 << 17, 48, 1 << 16, 1 << 17  # what a worker remembers at most
 INF = float("inf")
 #: How bytes that are no UTF-8 are decoded: as one U+FFFD each.
 EACH_BYTE = "textengine-each-byte"
@@ -144,7 +144,7 @@ class Transducer:
                 scores.append(best[0])
                 lasts.append(parts[-1])
                 firsts.append(parts[0])
-            if len(self.histories) >= 1 << 17:
+            if len(self.histories) >= HISTORIES:
                 self.histories.clear()
             got = self.histories[piece] = scores, lasts, firsts, len(parts) == 1
         return got
@@ -183,7 +183,7 @@ class Transducer:
         key = (last, piece)
         known = self.apart.get(key)
         if known is None:
-            if len(self.apart) >= 1 << 18:
+            if len(self.apart) >= APART:
                 self.apart.clear()
             known = self.apart[key] = self.stay_apart(last, piece)
         return 0.0 if known else INF
@@ -257,8 +257,12 @@ def compiled(model: bytes) -> Transducer:
     return _compiled[model]
 
 
-def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
-    """(id, n_tokens, ids: little-endian uint32[, text]) for every row of docs. The model is a broadcast of its file's size."""
+def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False, decoded: bool = False) -> DataFrame:
+    """(id, n_tokens, ids: little-endian uint32[, text][, decoded]) for every row of docs. The model is a broadcast of its file's size.
+
+    With decoded the ids written are decoded beside it, by the same transducer in the same worker; that is
+    ``decode(encode(...))`` with half of its Python workers.
+    """
     with open(model_path, "rb") as f:
         model = docs.sparkSession.sparkContext.broadcast(f.read())
 
@@ -268,13 +272,18 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 got = [t.encode(x or "") for x in part.column(1).to_pylist()]
-                sizes = pa.array([len(g) for g in got], pa.int64())
-                ids = pa.array([np.array(g, "<u4").tobytes() for g in got], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), sizes, ids, *([part.column(1)] if keep_text else [])], names)
+                ids = [np.array(g, "<u4").tobytes() for g in got]
+                columns = [part.column(0), pa.array([len(g) for g in got], pa.int64()), pa.array(ids, pa.binary())]
+                if keep_text:
+                    columns.append(part.column(1))
+                if decoded:
+                    columns.append(pa.array([t.decode(np.frombuffer(x, "<u4").tolist()) for x in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    names = [id_col, "n_tokens", "ids", *(["text"] if keep_text else [])]
-    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids binary" + ", text string" * keep_text)
+    names = [id_col, "n_tokens", "ids", *(["text"] if keep_text else []), *(["decoded"] if decoded else [])]
+    schema = f"`{id_col}` {kind}, n_tokens long, ids binary" + ", text string" * keep_text + ", decoded string" * decoded
+    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id") -> DataFrame:

@@ -157,10 +157,9 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from textengine.llm.piece_transducer import decode, encode
+    from textengine.llm.piece_transducer import encode
 
-    model = tokenizer_path("piece_bpe_32k.model")
-    rows = decode(encode(table(spark, sf_dir, "documents"), model, keep_text=True), model)
+    rows = encode(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), keep_text=True, decoded=True)
     plain = F.replace(F.coalesce("text", F.lit("")), F.lit("\u2581"), F.lit(" "))
     return rows.select("doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"), F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == plain).alias("round_trip"))
 
