@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from textengine.llm.common import scratch, table
 from textengine.llm.exact_dedup import drop_copies
 from textengine.llm.ngram_join import drop_near
-from textengine.llm.piece_transducer import decode, encode
+from textengine.llm.piece_transducer import encode
 from textengine.llm.quality_rules import keep_good
 from textengine.llm.registry import tokenizer_path
 from textengine.llm.source_mixing import mixed
@@ -42,7 +42,7 @@ def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens, ids (little-endian uint32) and whether they decode to the text."""
     model = tokenizer_path("piece_bpe_32k.model")
     keyed = docs.select(F.struct("doc_id", "source").alias("key"), "text")
-    rows = decode(encode(keyed, model, id_col="key", keep_text=True), model, id_col="key")
+    rows = encode(keyed, model, id_col="key", keep_text=True, decoded=True)
     plain = F.replace(F.coalesce("text", F.lit("")), F.lit("▁"), F.lit(" "))
     return rows.select("key.doc_id", "key.source", "n_tokens", "ids", (F.col("decoded") == plain).alias("round_trip"))
 
