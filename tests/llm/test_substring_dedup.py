@@ -52,6 +52,25 @@ def test_small_alphabets_match_brute_force(spark, monkeypatch):
         rows += [(5000, None), (5001, ""), (5002, " \n"), (5003, "x " * 9000), (5004, "x " * 9000), (None, "x " * 19 + "y")]
         df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS doc", "2 AS th", "3 AS marks")
         assert got(S.substring_dedup(df)) == brute(rows)
+        # With hot anchors dealt out over tasks.
+        assert S.hot_anchors(S._key_columns(df, "doc_id", "text"), 20, 8, 1)
+        assert got(S.substring_dedup(df, hot_least=1)) == brute(rows)
+
+
+def test_a_passage_in_most_documents(spark):
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(45)]
+    rows = [(i, " ".join([f"a{rng.randrange(10**6)}" for _ in range(rng.randint(0, 9))] + passage[rng.choice([0, 0, 0, 5]) :] + [f"b{rng.randrange(3)}" for _ in range(25)])) for i in range(700)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert S.hot_anchors(S._key_columns(df, "doc_id", "text"), 20, 8, 8)
+    assert got(S.substring_dedup(df, hot_least=8)) == brute(rows)
+
+
+def test_null_ids_are_told_apart_and_come_first(spark):
+    words = " ".join(f"w{i}" for i in range(25))
+    df = spark.createDataFrame([(None, words), (None, f"x {words}"), (None, "other"), (-5, words)], "doc_id long, text string")
+    out = {(r.doc_id, r.n_words): r.n_removed for r in S.substring_dedup(df).collect()}
+    assert out[-5, 25] == 25 and out[None, 1] == 0 and sorted([out[None, 25], out[None, 26]]) == [0, 25]
 
 
 def test_edges(spark):

@@ -17,9 +17,16 @@ automaton goes only to the tasks that stream its documents, which is its broadca
 SHARD_WORDS words whatever the input, and queries of a shard with many are dealt over several tasks,
 each with the automaton.
 
-Defined results: a null text has no words; null ids come before all others; rows with the same id are
-told apart by their texts, and repeated rows are one document, each with its result; an empty table
-gives an empty table.
+Anchors that many documents have (a common passage) are dealt over tasks by context and document: what is
+first in its share is a reference of its own, and the first ones of all shares meet in the anchor's own
+shard, where all but the earliest find an earlier one. So no task sorts all places of a hot anchor. Which
+anchors are hot is estimated on one in HOT_SAMPLE documents; it moves work only, any choice gives the same
+spans.
+
+Defined results: a null text has no words; null ids come before all others, in an order of their texts'
+hashes; rows with the same id are told apart by a hash of their texts (HASH_BITS bits, 62 for null ids), and
+repeated rows are one document, each with its result; an empty table gives an empty table; only the
+columns for ids and texts are read, so names of others don't matter. Ids are above -2^62.
 """
 
 from __future__ import annotations
@@ -42,6 +49,9 @@ SHARD_WORDS, DEALT_WORDS = 60_000, 2_000_000
 HASH_BITS, LEFT_BITS, MANY_BITS = 19, 5, 5
 WORD_SHIFT = LEFT_BITS + MANY_BITS
 HASH_SHIFT = 63 - HASH_BITS
+#: Anchors dealt out: how many at most, how often in the sample at least, into how many shares of documents.
+HOT, HOT_SAMPLE, HOT_LEAST, HOT_SHARES = 1024, 16, 32, 16
+NULL_IDS = -(1 << 62)
 
 
 class Automaton:
@@ -154,8 +164,11 @@ def anchors(w, window: int, k: int) -> tuple[np.ndarray, ...]:
 
 
 def _key_columns(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc, th, text): doc is the id, or for null ids a hash below all ids."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("doc"), F.pmod(F.xxhash64(text), F.lit(1 << HASH_BITS)).alias("th"), text.alias("text"))
+    hashed = F.xxhash64(text)
+    doc = F.coalesce(F.col(id_col).cast("long"), F.lit(2 * NULL_IDS) + F.shiftrightunsigned(hashed, 2))
+    return docs.select(doc.alias("doc"), F.pmod(hashed, F.lit(1 << HASH_BITS)).alias("th"), text.alias("text"))
 
 
 def _anchor_rows(window: int, k: int):
@@ -256,16 +269,29 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digests, pa.string()), pa.array(texts, pa.string())], ["doc", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, k: int = ANCHOR) -> DataFrame:
+ANCHOR_ROW = "a long, s long, doc long, place long"
+
+
+def hot_anchors(keyed: DataFrame, window: int, k: int, least: int = HOT_LEAST) -> list[int]:
+    """At most HOT anchors that many places of the sample have."""
+    sample = keyed.where(F.pmod(F.xxhash64("doc", "th"), F.lit(HOT_SAMPLE)) == 0).mapInArrow(_anchor_rows(window, k), ANCHOR_ROW)
+    counts = sample.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    return [r.a for r in counts.orderBy(F.desc("n"), "a").limit(HOT).collect()]
+
+
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, k: int = ANCHOR, hot_least: int = HOT_LEAST) -> DataFrame:
     """A row for each row of docs: id, n_words, n_removed, kept_sha256, kept_text (words joined by one space)."""
     spark = docs.sparkSession
     n = partitions(spark)
     keyed = _key_columns(docs, id_col, text_col)
-    rows = keyed.mapInArrow(_anchor_rows(window, k), "a long, s long, doc long, place long").repartition(n, "a")
+    hot = hot_anchors(keyed, window, k, hot_least)
+    dealt_out = F.col("a").isin(hot) if hot else F.lit(False)
+    share = F.when(dealt_out, F.xxhash64(F.col("s"), F.pmod(F.xxhash64("doc"), F.lit(HOT_SHARES)))).otherwise(F.lit(0).cast("long"))
+    rows = keyed.mapInArrow(_anchor_rows(window, k), ANCHOR_ROW).withColumn("share", share).repartition(n, "a", "share")
     # One exchange and one sort serve both windows. They hold no group in memory beyond what spills.
-    of_anchor, of_context = Window.partitionBy("a"), Window.partitionBy("a", "s").orderBy("doc", "place")
+    of_anchor, of_context = Window.partitionBy("a", "share"), Window.partitionBy("a", "share", "s").orderBy("doc", "place")
     ranked = rows.select("*", F.row_number().over(of_context).alias("nth"), F.first("doc").over(of_context).alias("ref"))
-    ranked = ranked.select("*", F.count(F.lit(1)).over(of_anchor).alias("n"), (F.min("s").over(of_anchor) != F.max("s").over(of_anchor)).alias("several"))
+    ranked = ranked.select("*", F.when(F.col("share") != 0, 2).otherwise(F.count(F.lit(1)).over(of_anchor)).alias("n"), ((F.col("share") != 0) | (F.min("s").over(of_anchor) != F.max("s").over(of_anchor))).alias("several"))
     kinds = F.when(F.col("nth") > 1, F.array(F.lit(LATER))).when(F.col("several"), F.array(F.lit(FIRST), F.lit(SEVERAL))).otherwise(F.array(F.lit(FIRST)))
     seen = ranked.where("n > 1").select("doc", F.shiftright("place", HASH_SHIFT).alias("th"), "place", "ref", F.explode(kinds).alias("kind"))
     seen = cut(seen, "repeated")
@@ -285,4 +311,4 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     by_doc = gone.groupBy(F.col("doc").alias("d"), F.col("th").alias("t")).agg(F.collect_set(F.struct("first", "past")).alias("gone"))
     joined = keyed.join(by_doc, (F.col("doc") == F.col("d")) & (F.col("th") == F.col("t")), "left").select("doc", "text", "gone")
     kept = joined.mapInArrow(_kept, "doc long, n_words long, n_removed long, kept_sha256 string, kept_text string")
-    return kept.select(F.when(F.col("doc") != -(1 << 63), F.col("doc")).alias(id_col), "n_words", "n_removed", "kept_sha256", "kept_text")
+    return kept.select(F.when(F.col("doc") > NULL_IDS, F.col("doc")).alias(id_col), "n_words", "n_removed", "kept_sha256", "kept_text")
