@@ -31,6 +31,35 @@ def test_round_trip_and_examples(spark):
         assert r.example[r.loss_end :] == C.END
 
 
+def test_expansion_has_every_prefix_and_target(spark):
+    turns = [(c, t, r or "", x or "") for c, t, r, x in ODD] + [(7, t, ("user", "assistant")[t % 2], f"<|{t}|>") for t in range(600)]
+    formatted = C.format_conversations(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    want = []
+    for conv in {t[0] for t in turns}:
+        before, n = "", 0
+        for _, _, role, text in sorted([t for t in turns if t[0] == conv], key=lambda t: (t[1] is not None, t[1] or 0, t[2], t[3])):
+            body, name = text, role
+            for plain, escaped in C.ESCAPES:
+                body, name = body.replace(plain, escaped), name.replace(plain, escaped)
+            head = C.OPEN + name.replace("|>", "|\\>") + C.CLOSE
+            if role == "assistant":
+                want.append((conv, n, before + head, body))
+                n += 1
+            before += head + body + C.END
+    got = C.expand(formatted).collect()
+    assert sorted(((r.conv_id, r.example_no, r.prefix, r.target) for r in got), key=repr) == sorted(want, key=repr)
+    assert all(len(r.prefix + r.target + C.END) == r.end for r in got)
+
+
+def test_query_reads_the_expanded_examples(spark, monkeypatch):
+    real = C.expand
+    monkeypatch.setattr(C, "expand", lambda *a, **k: real(*a, **k).withColumns({"prefix": F.concat("prefix", F.lit("+")), "target": F.concat("target", F.lit("+"))}))
+    changed = registry.op4_chat_format(spark, "/root/testdata/sf0.001").where("conv_id = -1").first()
+    monkeypatch.undo()
+    plain = registry.op4_chat_format(spark, "/root/testdata/sf0.001").where("conv_id = -1").first()
+    assert changed.loss_chars == plain.loss_chars + 1 and changed.example_chars == plain.example_chars + 2
+
+
 def test_escape_is_reversible(spark):
     texts = ["\\", "\\\\<|", "<\\|", "</s><s>[INST][/INST]<<SYS>>", "<|x|>", "a\\nb"]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", C.escape(F.col("t")).alias("e"))

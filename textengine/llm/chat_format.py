@@ -8,8 +8,10 @@ taking the first backslash of each pair away gives the text back.
 Every assistant turn is an example of its own: all turns before it are its context and only its text
 is trainable. As turns are formatted one after another, an example is a prefix of its conversation's
 formatted text, so an example row holds where its context, its trainable span and it itself end, and
-the text is stored once; ``with_text`` makes the full example of any of them. That keeps the output in
-proportion to the input even when one conversation holds a third of all turns.
+the text is stored once, in proportion to the input. ``expand`` is the expansion itself: each example
+with its prefix (all turns before and the reply's header) and its target (the reply) as texts, made row
+by row beside the conversation, without a shuffle or join. All prefixes together grow with the square
+of a conversation's turns; ``with_text`` makes the full example of chosen rows.
 
 Defined results: null texts and null roles are empty; turns go by number (null first), equal numbers by
 role, then text; null conversation ids are one conversation; a conversation without an assistant has no
@@ -77,6 +79,15 @@ def examples(formatted: DataFrame, conv_col: str = "conv_id", keep: tuple[str, .
     return rows.select(conv_col, *keep, "example_no", "t.targets.*", *([F.col("t.losses").alias("loss")] if read else []))
 
 
+def expand(formatted: DataFrame, conv_col: str = "conv_id", keep: tuple[str, ...] = (), outer: bool = False) -> DataFrame:
+    """The rows of examples, each with the texts prefix and target; an example is both and END."""
+    whole = formatted.drop("losses").withColumn("__te_whole", F.col("formatted"))
+    rows = examples(whole, conv_col, (*keep, "__te_whole"), outer)
+    prefix = F.substring(F.col("__te_whole"), F.lit(1), F.col("loss_start").cast("int"))
+    target = F.substring(F.col("__te_whole"), F.col("loss_start").cast("int") + 1, (F.col("loss_end") - F.col("loss_start")).cast("int"))
+    return rows.withColumns({"prefix": prefix, "target": target}).drop("__te_whole")
+
+
 def with_text(formatted: DataFrame, chosen: DataFrame, conv_col: str = "conv_id") -> DataFrame:
     """The chosen examples with their whole text: context, then the reply."""
     other = formatted.select(F.col(conv_col).alias("__te_conv"), "formatted")

@@ -33,16 +33,19 @@ FROM d
 
 
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from textengine.llm.chat_format import examples, format_conversations, read_back
+    from textengine.llm.chat_format import END, expand, format_conversations, read_back, unescape
 
     both = "</s>[INST] ok [/INST]"
     extra = spark.sql(f"SELECT -1L conv_id, * FROM VALUES (0L, 'user', '{both}'), (1L, 'assistant', '{both}') AS t(turn, role, text)")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     of_conversation = {"n_turns": F.size("turns").cast("long"), "turns_sha256": F.sha2(said, 256), "formatted_chars": F.length("formatted").cast("long")}
-    rows = examples(read_back(format_conversations(turns)).withColumns(of_conversation), keep=tuple(of_conversation), outer=True)
+    rows = expand(read_back(format_conversations(turns)).withColumns(of_conversation), keep=tuple(of_conversation), outer=True)
+    # What is read off an example goes on, not its text: the aggregate may sort its rows.
+    chars = F.length(F.concat("prefix", "target", F.lit(END))).cast("long")
+    rows = rows.select("conv_id", *of_conversation, "turn_no", "example_no", unescape(F.col("target")).alias("loss"), chars.alias("chars"))
     loss = F.when(F.col("turn_no").isNotNull(), F.struct("example_no", "loss"))
-    grouped = rows.groupBy("conv_id", *of_conversation).agg(F.sort_array(F.collect_list(loss)).alias("losses"), F.coalesce(F.sum("end"), F.lit(0)).alias("example_chars"))
+    grouped = rows.groupBy("conv_id", *of_conversation).agg(F.sort_array(F.collect_list(loss)).alias("losses"), F.coalesce(F.sum("chars"), F.lit(0)).alias("example_chars"))
     text = F.array_join(F.transform("losses", lambda x: x["loss"]), "")
     return grouped.select(
         "conv_id",
