@@ -51,6 +51,31 @@ def test_byte_arcs_write_the_bytes_of_a_character(both):
     assert own.written("ing") == (own.ids["ing"],)
 
 
+def test_full_tables_lose_no_frequent_stretch(monkeypatch, both):
+    monkeypatch.setattr(T, "KEPT", 16)
+    with open(PATH, "rb") as f:
+        own = T.Transducer(f.read())
+    made, real = [], own.path
+    own.path = lambda stretch: made.append(stretch) or real(stretch)
+    for i in range(200):
+        word = "".join(chr(97 + int(d)) for d in str(i))
+        assert own.encode(f"the {word}x the") == both[1].encode(f"the {word}x the")
+    assert made.count("▁the") == 1
+
+
+def test_same_with_tables_that_are_always_full(monkeypatch, both):
+    for name in ("KEPT", "HISTORIES", "APART"):
+        monkeypatch.setattr(T, name, 4)
+    with open(PATH, "rb") as f:
+        own = T.Transducer(f.read())
+    rng = random.Random(8)
+    for _ in range(300):
+        text = "".join(rng.choice([" ", "ation", "the", "é", "😀", "𐍈", "\u0D15", "日本", "--", "7"]) for _ in range(40))
+        assert own.encode(text) == both[1].encode(text)
+        assert own.encode_bytes(text) == b"".join(i.to_bytes(4, "little") for i in both[1].encode(text))
+        assert own.decode(own.encode(text)) == text
+
+
 def test_other_models_are_refused(both):
     with open(PATH, "rb") as f:
         model = f.read()

@@ -8,7 +8,7 @@ where merging leaves a, b apart, and infinity (no path) where merges by score wo
 them differently: a sequence of pieces is the one that the model's merges give if and only if every two
 neighbours in it are. So composed with a text, in the tropical semiring, exactly the model's
 segmentation has a finite weight, and the shortest path is found in one pass over the text: a position
-keeps its best last piece. Models of another kind than BPE, and those with a table of normalisation or
+keeps its best last piece; as weights are 0 or infinity, that is the first one found. Models of another kind than BPE, and those with a table of normalisation or
 that squeeze spaces, are refused.
 
 No piece has U+2581 after another character, so a path may be cut before each run of them, and the ids
@@ -25,7 +25,7 @@ from __future__ import annotations
 import codecs
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -37,7 +37,7 @@ SPACE = "▁"
 #: Piece types of the model format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE, UNIGRAM = 2, 1  # a model that names no kind is of the latter
-KEPT, KEPT_CHARS, HISTORIES, APART = 1 << 17, 48, 1 << 16, 1 << 17  # what a worker remembers at most
+KEPT, KEPT_CHARS, HISTORIES, APART = 1 << 17, 48, 1 << 16, 1 << 18  # what a worker remembers at most
 INF = float("inf")
 #: How bytes that are no UTF-8 are decoded: as one U+FFFD each.
 EACH_BYTE = "textengine-each-byte"
@@ -70,6 +70,25 @@ def _fields(data: bytes) -> Iterator[tuple[int, object]]:
             at += n
 
 
+class Kept(dict):
+    """What make gives for a short stretch; of the older half, what was not read again goes when the newer is full."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, stretch: str) -> bytes:
+        got = self.older.get(stretch)
+        if got is None:
+            got = self.make(stretch)
+        if len(stretch) <= KEPT_CHARS:
+            if len(self) >= KEPT // 2:
+                self.older = dict(self)
+                self.clear()
+            self[stretch] = got
+        return got
+
+
 class Transducer:
     """The compiled model. encode and decode are those of the model's library."""
 
@@ -111,14 +130,20 @@ class Transducer:
             self.stretches = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
         else:
             self.stretches = re.compile(rf"{SPACE}*(?:[^\W\d_]+|(?:[^\w{SPACE}]|[\d_])+)|{SPACE}+").findall
+        # An arc: characters read, piece, its ids as little-endian uint32, and whether it and the piece after it stay apart.
         self.arcs = ahocorasick.Automaton()
-        for p in self.ids:
-            self.arcs.add_word(p, p)
+        every = [self.arc(p) for p in self.ids]
+        for arc in every:
+            self.arcs.add_word(arc[1], arc)
         self.arcs.make_automaton()
+        self.start = (0, None, b"", {})
+        self.rows = [arc[3] for arc in (self.start, *every)]
+        self.others: dict[str, tuple] = {}  # arcs of characters without a piece
+        self.single = {p for p in self.ids if len(p) == 1}
         self.score = {p: scores[i] for p, i in self.ids.items()}
         self.histories: dict[str, tuple] = {}
-        self.apart: dict[tuple[str, str], bool] = {}
-        self.kept: dict[str, list[int]] = {}
+        self.known = 0
+        self.kept = Kept(self._stretch)
 
     def merges(self, text: str) -> list[str]:
         """The model's merges, done one by one: the definition of the arcs' weights (short texts only)."""
@@ -177,72 +202,86 @@ class Transducer:
             got = self.writes[piece] = tuple(self.bytes[b] for b in piece.encode()) if min(self.bytes) >= 0 else (self.unknown,)
         return got
 
-    def weight(self, last: str | None, piece: str) -> float:
-        if last is None:
-            return 0.0 if self.history(piece)[3] else INF
-        key = (last, piece)
-        known = self.apart.get(key)
-        if known is None:
-            if len(self.apart) >= APART:
-                self.apart.clear()
-            known = self.apart[key] = self.stay_apart(last, piece)
-        return 0.0 if known else INF
-
-    def path(self, stretch: str) -> list[str]:
-        """The shortest path over the stretch's characters, as pieces (an unknown character is its own)."""
+    def arc(self, piece: str) -> tuple[int, str, bytes, dict[str, bool]]:
+        ids = self.written(piece)
+        return len(piece), piece, struct.pack(f"<{len(ids)}I", *ids), {}
+
+    def other(self, char: str) -> tuple[int, str, bytes, dict[str, bool]]:
+        got = self.others.get(char)
+        if got is None:
+            if len(self.others) >= HISTORIES:
+                self.others.clear()
+            got = self.others[char] = self.arc(char)
+        return got
+
+    def finite(self, before: tuple, piece: str) -> bool:
+        """Whether the arc of piece weighs 0 after the arc before, and not infinity; known from then on."""
+        if self.known >= APART:
+            for row in self.rows:
+                row.clear()
+            self.others.clear()
+            self.known = 0
+        self.known += 1
+        got = before[3][piece] = self.history(piece)[3] if before[1] is None else self.stay_apart(before[1], piece)
+        return got
+
+    def path(self, stretch: str) -> list[tuple]:
+        """The arcs of the shortest path over the stretch's characters (an unknown character has its own)."""
         n = len(stretch)
-        cost, last = [0.0] + [INF] * n, [None] * (n + 1)
-        weight, done = self.weight, 0
-
-        def relax(end: int, piece: str) -> None:
-            start = end - len(piece)
-            if cost[start] < cost[end]:
-                c = cost[start] + weight(last[start], piece)
-                if c < cost[end]:
-                    cost[end], last[end] = c, piece
-
-        for at, piece in self.arcs.iter(stretch):
-            while done < at:  # characters before this one that no piece ends at
+        last: list[tuple | None] = [self.start] + [None] * n  # the arc that a path of weight 0 to here ends with
+        finite, done = self.finite, 0
+        unknown = not self.single.issuperset(stretch)
+
+        def single(end: int) -> None:  # a character that no piece ends at and that is none itself
+            char = stretch[end - 1]
+            if last[end] is None and last[end - 1] is not None and char not in self.ids and finite(last[end - 1], char):
+                last[end] = self.other(char)
+
+        for at, arc in self.arcs.iter(stretch):
+            if unknown:
+                while done < at:
+                    done += 1
+                    single(done)
+            if last[at + 1] is None:  # without negative weights nothing is shorter than 0
+                before = last[at + 1 - arc[0]]
+                if before is not None:
+                    ok = before[3].get(arc[1])
+                    if ok is None:
+                        ok = finite(before, arc[1])
+                    if ok:
+                        last[at + 1] = arc
+        if unknown:
+            while done < n:
                 done += 1
-                if last[done] is None and stretch[done - 1] not in self.ids:
-                    relax(done, stretch[done - 1])
-            if cost[at + 1] == INF:  # without negative weights nothing is shorter than 0
-                relax(at + 1, piece)
-        while done < n:
-            done += 1
-            if last[done] is None and stretch[done - 1] not in self.ids:
-                relax(done, stretch[done - 1])
+                single(done)
         out, at = [], n
         while at:
-            out.append(last[at])
-            at -= len(last[at])
+            arc = last[at]
+            out.append(arc)
+            at -= arc[0]
         return out[::-1]
 
-    def _stretch(self, stretch: str) -> list[int]:
-        got = [i for piece in self.path(stretch) for i in self.written(piece)]
-        if len(stretch) <= KEPT_CHARS:
-            if len(self.kept) >= KEPT:
-                self.kept.clear()
-            self.kept[stretch] = got
-        return got
+    def _stretch(self, stretch: str) -> bytes:
+        return b"".join([arc[2] for arc in self.path(stretch)])
 
-    def encode(self, text: str) -> list[int]:
+    def encode_bytes(self, text: str) -> bytes:
+        """The ids as little-endian uint32."""
         if not text:
-            return []
+            return b""
         for read, written in self.normaliser:
             text = text.replace(read, written)
         text = (SPACE if self.prefix else "") + text
-        out: list[int] = []
-        kept = self.kept
-        for stretch in self.stretches(text):
-            out += kept.get(stretch) or self._stretch(stretch)
-        return out
+        return b"".join(map(self.kept.__getitem__, self.stretches(text)))
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.encode_bytes(text), "<u4").tolist()
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: list[int] | np.ndarray) -> str:
         if not hasattr(self, "out"):
-            self.out = [b"" if k == CONTROL else bytes([int(p[3:5], 16)]) if k == BYTE else " ⁇ ".encode() if k == UNKNOWN else p.replace(SPACE, " ").encode() for p, k in zip(self.pieces, self.kinds, strict=True)]
-        out = self.out
-        text = b"".join([out[i] for i in ids]).decode("utf-8", EACH_BYTE)
+            self.out = pa.array([b"" if k == CONTROL else bytes([int(p[3:5], 16)]) if k == BYTE else " ⁇ ".encode() if k == UNKNOWN else p.replace(SPACE, " ").encode() for p, k in zip(self.pieces, self.kinds, strict=True)], pa.large_binary())
+        _, ends, written = self.out.take(pa.array(np.asarray(ids, "<u4"))).buffers()
+        size = np.frombuffer(ends, "<i8")[len(ids)] if len(ids) else 0
+        text = str(memoryview(written)[:size], "utf-8", EACH_BYTE) if size else ""
         return text[1:] if self.prefix and text[:1] == " " else text
 
 
@@ -271,13 +310,12 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                got = [t.encode(x or "") for x in part.column(1).to_pylist()]
-                ids = [np.array(g, "<u4").tobytes() for g in got]
-                columns = [part.column(0), pa.array([len(g) for g in got], pa.int64()), pa.array(ids, pa.binary())]
+                ids = [t.encode_bytes(x or "") for x in part.column(1).to_pylist()]
+                columns = [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
                 if keep_text:
                     columns.append(part.column(1))
                 if decoded:
-                    columns.append(pa.array([t.decode(np.frombuffer(x, "<u4").tolist()) for x in ids], pa.string()))
+                    columns.append(pa.array([t.decode(np.frombuffer(x, "<u4")) for x in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -298,7 +336,7 @@ def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id") -> DataF
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = [t.decode(np.frombuffer(x or b"", "<u4").tolist()) for x in part.column(at_ids).to_pylist()]
+                texts = [t.decode(np.frombuffer(x or b"", "<u4")) for x in part.column(at_ids).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
