@@ -87,3 +87,52 @@ def test_drop_near_with_repeated_and_null_ids(spark):
     full = [g for g in got if g[1]]
     assert sorted(((i, t[0]) for i, t in full), key=repr) == [(3, "a"), (5, "b"), (7, "c"), (None, "d"), (None, "e")]
     assert set(full) <= set(rows)
+
+
+def test_survey_holds_one_buffer(monkeypatch):
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    often = np.array([5, 9], np.uint64)
+    made = lambda: np.unique(np.concatenate([often, rng.integers(0, 1 << 63, 2000, dtype=np.int64).astype(np.uint64)]))
+    monkeypatch.setattr(J, "SURVEYED", 1_000_000)
+    monkeypatch.setattr(J, "sets", lambda column, n: ((i, made()) for i in range(len(column))))
+    texts = pa.record_batch({"doc": pa.array(range(1200), pa.int64()), "text": pa.array([""] * 1200)})
+    tracemalloc.start()
+    counts = {}
+    for b in J._survey(4)(iter([texts])):
+        for r in b.to_pylist():
+            if r["shingle"]:
+                counts[r["key"]] = counts.get(r["key"], 0) + r["n"]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counts == {5: 1200, 9: 1200}
+    assert peak < 1.6 * 8 * J.SURVEYED, peak
+
+
+def test_survey_of_sets_that_no_buffer_holds(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(J, "SURVEYED", 20)
+    texts = ["a b c d e f", "a b c d e g", "a b c d e h", " ".join(f"w{i}" for i in range(99)), None, "a b c d e f"]
+    rows = [r for b in J._survey(4)(iter([pa.record_batch({"doc": pa.array(range(6), pa.int64()), "text": pa.array(texts)})])) for r in b.to_pylist()]
+    assert [(r["doc"], r["n"]) for r in rows if not r["shingle"]] == [(0, 3), (1, 3), (2, 3), (3, 96), (4, 0), (5, 3)]
+    assert [r["n"] for r in rows if r["shingle"]] == [3, 3]
+
+
+def test_profiles_are_handed_on_in_small_batches():
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pyarrow as pa
+
+    known = SimpleNamespace(value=(np.zeros(0, np.uint64), np.zeros(0, np.int32)))
+    texts = [f"a{i} b c d e{i % 7}" if i % 5 else None for i in range(3000)]
+    batch = pa.record_batch({"doc": pa.array(range(3000), pa.int64()), "text": pa.array(texts)})
+    out = list(J._profiles(4, 85, known)(iter([batch])))
+    assert sum(b.num_rows for b in out) == 2400 and max(b.num_rows for b in out) <= 1000
+    want = [(J.class_of(s), len(s)) for _, s in J.sets(pa.array(texts)) if len(s)]
+    assert [(r["cls"], r["n"]) for b in out for r in b.select(["cls", "n"]).to_pylist()] == want

@@ -51,6 +51,7 @@ PARITY_WORDS, NARROW = 4, 8  # of 64 bits: at least, and in rows of shared shing
 SKETCH, ROTATIONS, BACK, AGREE = 16, 8, 4, 10  # hashes a sketch, sorted orders, partners in each, hashes that agree
 BLOCKS = [(0, 0), (1, 4), (0, 15)]  # of sixteen; the last one is all
 SEEN, SURVEYED = 3, 6_000_000
+ROWS = 1000  # profiles that a task holds before it hands them on
 SENT = 250_000  # pairs or nodes of 16 to 40 bytes that are broadcast at most; more are joined by shuffling
 
 
@@ -125,32 +126,31 @@ def _survey(n: int, marked: bool = False):
         columns = [docs, pa.array(keys), pa.array(counts), pa.array(np.full(len(docs), shingle)), *(marks if marked else [])]
         return pa.RecordBatch.from_arrays(columns, ["doc", "key", "n", "shingle", "mark"][: len(columns)])
 
-    def frequent(held: list[np.ndarray]) -> pa.RecordBatch:
-        every = np.concatenate(held)
-        held.clear()
-        every.sort()
-        found = np.unique(every[SEEN - 1 :][every[SEEN - 1 :] == every[: len(every) - SEEN + 1]])
+    def frequent(every: np.ndarray) -> pa.RecordBatch:
+        every.sort()  # in place: the buffer is all that a task holds
+        found = np.unique(every[SEEN - 1 :][every[SEEN - 1 :] == every[: max(0, len(every) - SEEN + 1)]])
         counts = np.searchsorted(every, found, "right") - np.searchsorted(every, found)
         return rows(pa.nulls(len(found), pa.int64()), found.view(np.int64), counts.astype(np.int64), True, [pa.nulls(len(found), pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        held: list[np.ndarray] = []
-        size = 0
+        held, size = np.empty(SURVEYED, np.uint64), 0
         for batch in batches:
             classes, sizes = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
             for i, s in sets(batch.column(1), n):
                 classes[i], sizes[i] = c, _ = class_of(s), len(s)
-                if c not in seen and len(s):
+                if c in seen or not len(s):
+                    continue
+                if size + len(s) > len(held):
+                    yield frequent(held[:size])
+                    size, seen = 0, set()
+                if len(s) <= len(held):  # a set that no buffer holds repeats no shingle by itself
                     seen.add(c)
-                    held.append(s)
+                    held[size : size + len(s)] = s
                     size += len(s)
-                if size >= SURVEYED:
-                    yield frequent(held)
-                    size, seen = 0, set()
             yield rows(batch.column(0), classes, sizes, False, batch.columns[2:])
-        if held:
-            yield frequent(held)
+        if size:
+            yield frequent(held[:size])
 
     return run
 
@@ -160,8 +160,15 @@ def _profiles(n: int, percent: int, known):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, ranks = known.value
+
+        def table(rows: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*rows, strict=True))
+            rows.clear()
+            lists = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in c])]), pa.int32()), pa.array(np.concatenate(c))) for c in columns[2:]]
+            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), *lists], ["cls", "n", "parity", "narrow", "sketch", "prefix"])
+
         for batch in batches:
-            rows = []
+            rows: list[tuple] = []
             for _, s in sets(batch.column(1), n):
                 if not len(s):
                     continue
@@ -171,11 +178,12 @@ def _profiles(n: int, percent: int, known):
                     at = np.minimum(np.searchsorted(hashes, s), len(hashes) - 1)
                     late = hashes[at] == s
                     prefix = np.concatenate([s[~late], s[late][np.argsort(ranks[at[late]], kind="stable")]]) if late.any() else s
-                rows.append((class_of(s), len(s), parities(s), narrow_parities(s), sketch(s), prefix[:k].view(np.int64)))
+                # A copy: a view would keep the whole set as long as its row.
+                rows.append((class_of(s), len(s), parities(s), narrow_parities(s), sketch(s), prefix[:k].view(np.int64).copy()))
+                if len(rows) == ROWS:
+                    yield table(rows)
             if rows:
-                columns = list(zip(*rows, strict=True))
-                lists = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in c])]), pa.int32()), pa.array(np.concatenate(c))) for c in columns[2:]]
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), *lists], ["cls", "n", "parity", "narrow", "sketch", "prefix"])
+                yield table(rows)
 
     return run
 

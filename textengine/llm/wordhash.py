@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
-SLICE = 1 << 20  # bytes of text worked on at once; a longer text is a slice of its own
+SLICE = 1 << 18  # bytes of text worked on at once; a longer text is a slice of its own
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
