@@ -80,3 +80,24 @@ def test_edges(spark):
     got = O.encode_and_read(df, PATH).orderBy("start").collect()
     assert [r.doc_id for r in got] == [None, 1, 1, 2, 2, 3] and [r.n_tokens for r in got][1:3] == [1, 1]
     assert O.encode_and_read(df.limit(0), PATH).count() == 0
+
+
+def test_full_table_keeps_its_earlier_half(monkeypatch):
+    monkeypatch.setattr(O, "KEPT_PIECES", 100)
+    e = O.Encoder(PATH, 2)
+    texts = [" the and of" + "".join(f" w{chr(97 + i % 26)}{chr(97 + i // 26)}x{k * 'z'}" for k in range(8)) for i in range(200)]
+    for t in texts:
+        assert [np.frombuffer(x, "<u2").tolist() for x in e.encode([t])] == plain([t])
+        assert {" the", " and", " of"} <= set(e.kept)
+        assert len(e.kept) <= 100
+
+
+def test_plain_words_do_not_go_through_the_librarys_expression(monkeypatch):
+    e = O.Encoder(PATH, 2)
+    seen = []
+    whole = e._ids
+    monkeypatch.setattr(e, "_ids", lambda library, texts: seen.append((library is e.library, texts)) or whole(library, texts))
+    text = "Some plain words, étés ÀÖ ǆ ªº ×2 ĀɏɐЖ naïve日本 don't"
+    assert [np.frombuffer(x, "<u2").tolist() for x in e.encode([text])] == plain([text])
+    given = " ".join(t for own, texts in seen if own for t in texts)
+    assert not any(w in given for w in ("plain", "words", "étés", "ÀÖ", "Some")) and "日本" in given

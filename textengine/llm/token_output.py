@@ -30,8 +30,9 @@ import re
 import struct
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -130,9 +131,19 @@ def _file_system(uri: str) -> tuple[pafs.FileSystem, str]:
 
 
 #: White space with the letters, or the other characters, that follow it; letters after an apostrophe go with it.
+#: The first branch finds nothing else than the second one, only faster.
 _WS = r" \t-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_PIECES = re.compile(rf"[{_WS}]*(?:[^\W\d_]+|(?:'[^\W\d_]+|[^\w{_WS}]|[\d_])+)|[{_WS}]+").findall
+_PIECES = re.compile(rf" ?[A-Za-zÀ-ÖØ-öø-ÿ]+[^\W\d_]*|[{_WS}]*(?:[^\W\d_]+|(?:'[^\W\d_]+|[^\w{_WS}]|[\d_])+)|[{_WS}]+").findall
 KEPT_PIECES = 1_000_000
+#: A space, or none, and Latin letters that every version of Unicode here calls letters: one piece of the library's too.
+_PLAIN = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ɏ]+").fullmatch
+
+
+def _byte_letters() -> dict[int, str]:
+    """How a byte-level tokenizer writes each byte; 0xFF, which is in no UTF-8, as a blank, which is how none is written."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)} | {255: " "}
 
 
 class Encoder:
@@ -140,8 +151,10 @@ class Encoder:
 
     A byte-level tokenizer splits a text before its merges, always before white space, and between
     letters and other characters. So a text's ids are those of its pieces in order, which are
-    kept in a table of bounded size. New runs of letters are encoded many at a time, one a line; where
-    each ends follows from the ids' lengths in bytes. A tokenizer of another kind gets whole texts.
+    kept in a table of bounded size, of which the earlier half, with the more frequent ones, stays when it is
+    full. New runs of letters are encoded many at a time, one a line; where each ends follows from the ids'
+    lengths in bytes. Those of Latin letters go to the library's model straight away, split by blanks in place
+    of its regular expression. A tokenizer of another kind gets whole texts.
 
     The library takes added tokens out of a text before anything else, so texts are cut at them first and
     each is a piece of its own. With special_text the contents of special ones are ordinary text instead.
@@ -151,7 +164,7 @@ class Encoder:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = special_text
@@ -167,11 +180,16 @@ class Encoder:
         self.added = {t["content"] for t in added}
         longest_first = sorted(self.added, key=len, reverse=True)
         self.cut = re.compile(f"({'|'.join(map(re.escape, longest_first))})").split if added else None
+        self.merger, self.letters = Tokenizer(self.library.model), _byte_letters()
+        self.merger.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
         # A byte-level token is written with one character for each of its bytes.
         self.bytes_of = np.array([len(self.library.id_to_token(i) or "") for i in range(size)])
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [array(self.code, e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return self._ids(self.library, texts)
+
+    def _ids(self, library, texts: list[str]) -> list[bytes]:
+        return [array(self.code, e.ids).tobytes() for e in library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _pieces(self, text: str) -> list[str]:
         if not self.cut:
@@ -182,21 +200,29 @@ class Encoder:
         return [p for i, s in enumerate(sections) for p in ([s] if i % 2 else _PIECES(s))]
 
     def _learn(self, pieces: list[str]) -> None:
-        in_line = {p for p in pieces if p.lstrip(" ").isalpha() and p[:2] != "  "} - self.added
-        runs = [p for p in pieces if p in in_line]
-        rest = [p for p in pieces if p not in in_line]
+        plain = [p for p in pieces if _PLAIN(p) and p not in self.added]
+        known = {*plain, *self.added}
+        in_line = {p for p in pieces if p not in known and p.lstrip(" ").isalpha() and p[:2] != "  "}
+        rest = [p for p in pieces if p not in in_line and (p not in known or p in self.added)]
         self.kept.update(zip(rest, self._whole(rest), strict=True))
-        chunks = [runs[i : i + 500] for i in range(0, len(runs), 500)]
-        for chunk, ids in zip(chunks, self._whole(["\n".join(c) for c in chunks]), strict=True):
-            ends = np.cumsum([len(p.encode()) + 1 for p in chunk]) - 1
-            reached = np.cumsum(self.bytes_of[np.frombuffer(ids, f"<u{self.width}")])
-            cuts = np.searchsorted(reached, ends)  # the token that ends each piece; the next one is the line's end
-            if (reached[cuts] != ends).any():
-                raise ValueError("the tokenizer joined two lines")
-            start = 0
-            for p, last in zip(chunk, ((cuts + 1) * self.width).tolist(), strict=True):
-                self.kept[p] = ids[start:last]
-                start = last + self.width
+        self._learn_joined([p for p in pieces if p in in_line], 1, lambda chunk: "\n".join(p.decode() for p in chunk), self.library)
+        self._learn_joined(plain, 0, lambda chunk: b"\xff".join(chunk).decode("latin-1").translate(self.letters), self.merger)
+
+    def _learn_joined(self, pieces: list[str], between: int, joined: Callable[[list[bytes]], str], library) -> None:
+        """Pieces of one pre-token each, 500 in a text; between: ids, of a byte each, that stand between two of them."""
+        for at in range(0, len(pieces), 500 * 64):
+            chunks = [pieces[i : i + 500] for i in range(at, min(at + 500 * 64, len(pieces)), 500)]
+            coded = [[p.encode() for p in chunk] for chunk in chunks]
+            for chunk, raw, ids in zip(chunks, coded, self._ids(library, [joined(raw) for raw in coded]), strict=True):
+                ends = np.cumsum([len(p) + between for p in raw]) - between
+                reached = np.cumsum(self.bytes_of[np.frombuffer(ids, f"<u{self.width}")])
+                cuts = np.searchsorted(reached, ends)  # the token that ends each piece
+                if (reached[cuts] != ends).any():
+                    raise ValueError("the tokenizer joined two pieces")
+                start = 0
+                for p, last in zip(chunk, ((cuts + 1) * self.width).tolist(), strict=True):
+                    self.kept[p] = ids[start:last]
+                    start = last + between * self.width
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, little-endian, `width` bytes each."""
@@ -204,10 +230,11 @@ class Encoder:
             return self._whole(texts)
         split = [self._pieces(t) for t in texts]
         kept = self.kept
-        new = {p for s in split for p in s if p not in kept}
+        new = set().union(*split).difference(kept)
         if len(kept) + len(new) > KEPT_PIECES:
-            kept.clear()
-            new = {p for s in split for p in s}
+            for p in list(islice(kept, KEPT_PIECES // 2, None)):
+                del kept[p]
+            new = set().union(*split).difference(kept)
         if new:
             self._learn(list(new))
         get = self.kept.__getitem__
