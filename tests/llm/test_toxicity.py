@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from textengine.llm import registry
 from textengine.llm import toxicity as T
@@ -117,3 +118,29 @@ def test_query_edges(spark, tmp_path):
     for name, schema in (("documents", "doc_id long, text string"), ("labels", "doc_id long, toxic int")):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none/{name}.parquet")
     assert registry.op10_toxicity(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_labels_meet_hashes_and_not_texts(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text number {i % 90} " * (i % 5)) for i in range(300)] * 2 + [(None, "x"), (7, "other"), (8, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 320, 2)] + [(7, 1), (7, 0), (8, 1), (8, 1), (9, None), (None, 1)], "doc_id long, toxic int")
+    joined = docs.join(labels.withColumnRenamed("doc_id", "label_id"), docs.doc_id == F.col("label_id"))
+    plans = []
+    monkeypatch.setattr(T, "cut", lambda df, name, cut=T.cut: plans.append(df._jdf.queryExecution().optimizedPlan()) or cut(df, name))
+    for bounds in ({}, {"max_train": 37}, {"max_chars": 900}, {"max_train": 1}):
+        rows = lambda *a, b=bounds, **k: sorted(map(tuple, T.training_rows(*a, "doc_id", "text", "toxic", **b, **k).collect()))
+        assert rows(docs, labels=labels) == rows(joined) != []
+    joins = []
+
+    def walk(node):
+        if node.nodeName() == "Join":
+            joins.extend(node.children().apply(k).output().mkString(" ") for k in range(2))
+        for k in range(node.children().size()):
+            walk(node.children().apply(k))
+
+    walk(plans[0])
+    assert len(joins) == 2 and not any("text#" in x for x in joins), joins
+    assert len(T.training_rows(docs, "doc_id", "text", "toxic", labels=labels).collect()) == joined.where("toxic IS NOT NULL").count()
+    asked = []
+    monkeypatch.setattr(T, "fit", lambda d, *a, labels=None, **k: asked.append((d.columns, labels)) or T.Machine())
+    registry.op10_toxicity(spark, "/root/testdata/sf0.001")
+    assert asked[0][0] == ["doc_id", "text"] and asked[0][1] is not None

@@ -136,8 +136,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
-    labels = table(spark, sf_dir, "labels").where(~held).select(F.col("doc_id").alias("label_id"), "toxic")
-    machine = fit(docs.join(labels, F.col("doc_id") == F.col("label_id")), "doc_id", "text", "toxic")
+    labels = table(spark, sf_dir, "labels").where(~held).select("doc_id", "toxic")
+    machine = fit(docs, "doc_id", "text", "toxic", labels=labels)
     return score(docs, machine).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from textengine.llm.common import cut
 from textengine.llm.wordhash import slices
@@ -141,34 +142,46 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), got], ["label", "places"])
 
 
-def training_rows(labelled: DataFrame, id_col: str, text_col: str, label_col: str, max_train: int = MAX_TRAIN, max_chars: int = MAX_CHARS) -> DataFrame:
-    """(label, text): the first rows by hash of the id, then id, text and label, within both bounds; one row at least."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    order = F.struct(F.xxhash64(id_col).alias("h"), F.col(id_col).alias("i"), F.xxhash64(text).alias("t"), F.col(label_col).cast("int").alias("label"))
-    rows = labelled.where(F.col(label_col).isNotNull()).select(order.alias("key"), F.length(text).alias("chars"), text.alias("text"))
+def training_rows(labelled: DataFrame, id_col: str, text_col: str, label_col: str, max_train: int = MAX_TRAIN, max_chars: int = MAX_CHARS, labels: DataFrame | None = None) -> DataFrame:
+    """(label, text): the first rows by hash of the id, then id, text and label, within both bounds; one row at least.
+
+    With labels (ids and labels), labelled has no labels yet: these are joined by id, with hashes and lengths
+    of the texts only. Texts are read again for the rows that were taken, and no others are shuffled.
+    """
+    text, kind = F.coalesce(F.col(text_col), F.lit("")), labelled.schema[id_col].dataType
+    told = [F.col(id_col).alias("i"), F.xxhash64(text).alias("t"), F.length(text).alias("chars")]
+    if labels is None:
+        rows = labelled.select(*told, F.col(label_col).cast("int").alias("label"))
+    else:
+        known = labels.select(F.col(id_col).alias("label_id"), F.col(label_col).cast("int").alias("label")).where("label IS NOT NULL")
+        rows = labelled.select(*told).join(known, F.col("i") == F.col("label_id"))
+    order = F.struct(F.xxhash64("i").alias("h"), "i", "t", "label")
     # Written first, so that tasks merge what each of them takes; the driver gets max_train narrow rows at most.
-    first = cut(rows.select("key", "chars").orderBy("key").limit(max_train), "first").orderBy("key").collect()
+    first = cut(rows.where("label IS NOT NULL").select(order.alias("key"), "chars").orderBy("key").limit(max_train), "first").orderBy("key").collect()
     taken = total = 0
     while taken < len(first) and (taken == 0 or total + first[taken].chars <= max_chars):
         total += first[taken].chars
         taken += 1
-    if not taken:
-        return rows.limit(0).select(F.col("key.label").alias("label"), "text")
-    last = first[taken - 1].key
-    edge = F.struct(F.lit(last.h).alias("h"), F.lit(last.i).cast(labelled.schema[id_col].dataType).alias("i"), F.lit(last.t).alias("t"), F.lit(last.label).alias("label"))
-    equal = sum(r.key == last for r in first[:taken])  # rows equal to the last one are the same row
-    chosen = rows.where(F.col("key") < edge).unionByName(rows.where(F.col("key") == edge).limit(equal))
-    return chosen.select(F.col("key.label").alias("label"), "text")
-
-
-def fit(labelled: DataFrame, id_col: str, text_col: str, label_col: str, max_train: int = MAX_TRAIN, max_chars: int = MAX_CHARS) -> Machine:
-    """Trains on the bounded sample of labelled, which has ids, texts and labels 0 or 1."""
-    chosen = training_rows(labelled, id_col, text_col, label_col, max_train, max_chars)
+    wanted: dict[tuple, list[int]] = {}
+    for r in first[:taken]:
+        wanted.setdefault((r.key.i, r.key.t), []).append(r.key.label)
+    schema = StructType([StructField("wi", kind), StructField("wt", LongType()), StructField("labels", ArrayType(IntegerType()))])
+    chosen = F.broadcast(labelled.sparkSession.createDataFrame([(*k, found) for k, found in wanted.items()], schema))
+    texts = labelled.select(F.col(id_col).alias("i"), F.xxhash64(text).alias("t"), text.alias("text"))
+    same = F.col("i").eqNullSafe(F.col("wi")) & (F.col("t") == F.col("wt"))
+    # Rows of equal ids and texts are the same row: one of them stands for all, as often as its labels say.
+    once = texts.join(chosen, same).dropDuplicates(["i", "t"])
+    return once.select(F.explode("labels").alias("label"), "text")
+
+
+def fit(labelled: DataFrame, id_col: str, text_col: str, label_col: str, max_train: int = MAX_TRAIN, max_chars: int = MAX_CHARS, labels: DataFrame | None = None) -> Machine:
+    """Trains on the bounded sample of labelled, which has ids, texts and labels 0 or 1, or gets them from labels by id."""
+    chosen = training_rows(labelled, id_col, text_col, label_col, max_train, max_chars, labels)
     got = chosen.mapInArrow(_places, "label int, places array<int>").toArrow()
-    labels = got.column("label").to_numpy().astype(float)
+    marks = got.column("label").to_numpy().astype(float)
     texts = [x.values.to_numpy() for c in got.column("places").chunks for x in c]
-    order = sorted(range(len(texts)), key=lambda i: (labels[i], len(texts[i]), texts[i].tobytes()))  # the same whatever the partitions
-    return train([texts[i] for i in order], labels[order] if len(order) else labels)
+    order = sorted(range(len(texts)), key=lambda i: (marks[i], len(texts[i]), texts[i].tobytes()))  # the same whatever the partitions
+    return train([texts[i] for i in order], marks[order] if len(order) else marks)
 
 
 def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
