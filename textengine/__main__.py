@@ -20,7 +20,7 @@ def numbered(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_in_order(lines: DataFrame, path: str, line: str = "line") -> None:
-    X.write_lines(lines.orderBy("doc_id", "line_no"), path, line)
+    X.write_sorted_lines(lines, path, line=line)
 
 
 def show(table: DataFrame) -> None:
