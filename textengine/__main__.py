@@ -41,8 +41,7 @@ def clean_wiki(spark, a):
 def split_boilerplate(spark, a):
     lines = numbered(spark, a.input)
     labelled = lines.withColumn("label", F.explode(F.array(D.T.line_label(F.col("line")))))
-    X.write_split(labelled.orderBy("doc_id", "line_no"), a.output, a.log)
-    show(D.label_counts(labelled))
+    show(D.label_counts(X.write_split(labelled, a.output, a.log, ("doc_id", "line_no"))))
 
 
 def rewrite(column):
